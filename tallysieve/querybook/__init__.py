@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import book, scalar_queries, table_queries  # noqa: F401  (importing registers the queries)
+from . import book, io_queries, scalar_queries, table_queries  # noqa: F401  (importing registers the queries)
 
 
 def all_queries() -> dict[str, book.Query]:

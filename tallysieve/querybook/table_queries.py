@@ -34,9 +34,8 @@ for _i, _rule in enumerate(o.SALES_RULES, 4):
 # --- predicates --------------------------------------------------------------------------------------
 @query("d01_rule_catalog", "select c.*, coalesce(failed_rows, 0)::bigint as failed_rows from catalog c left join failures using (rule_id)")
 def _(w):
-    ev = w.evaluation()
     counts = w.report.select("rule_id", "failed_rows")
-    return rules.catalog_table(w.spark).join(counts, "rule_id", "left").drop("__x")
+    return rules.catalog_table(w.spark).join(counts, "rule_id", "left")
 
 
 @query("d02_valid_split", f"select {AT} from flagged where is_valid")

@@ -1,10 +1,118 @@
-"""Placeholder until the readers below are in place."""
+"""One batch of input: an archive, a folder or a single file, as four validated raw tables."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..contracts import CONTRACTS
+from ..errors import ArchiveError, DelimitedError, IngestionError, InputError
+from ..plans.evaluate import Stage
+from ..sinks.staging import Staging
+from . import archives, delimited, listing
+
+SHOWN_PROBLEMS = 20
+
 
+def _refuse(problems: DataFrame, error: type[IngestionError]) -> None:
+    """Raise with the first problems found; the rest stays in the table."""
+    found = problems.limit(SHOWN_PROBLEMS).collect()
+    if found:
+        raise error("; ".join(": ".join(str(x) for x in row if x not in (None, "")) for row in found))
 
-def combine(frames, contract):
+
+def combine(frames: Sequence[DataFrame], contract: str) -> DataFrame:
+    """UNION ALL of the tables of one contract; a contract without table is an error."""
     if not frames:
-        raise ValueError(f"no table of contract {contract}")
+        raise InputError(f"no table of contract {contract}")
     return reduce(DataFrame.unionByName, frames)
+
+
+@dataclass(frozen=True)
+class Batch:
+    """Parsed input. `parsed` holds every record with file, contract and line."""
+
+    parsed: DataFrame
+
+    def table(self, contract: str) -> DataFrame:
+        return delimited.contract_rows(self.parsed, contract)
+
+    def tables(self) -> dict[str, DataFrame]:
+        """All contracts; a batch that lacks one cannot be built."""
+        names = self.parsed.where("problem is null and line = 1").select("schema_name").distinct()
+        present = {row[0] for row in names.collect()}  # one row per contract
+        return {c: combine([self.table(c)] if c in present else [], c) for c in CONTRACTS}
+
+    def summary(self) -> DataFrame:
+        """Contract, format and number of rows of each file."""
+        return (
+            self.parsed.where("problem is null")
+            .groupBy("source_file", "schema_name", "encoding", "delimiter")
+            .agg(F.count_if(F.col("line") > 1).alias("rows"))
+            .orderBy(F.lower("source_file"), "source_file")
+        )
+
+    def totals(self) -> DataFrame:
+        return self.summary().agg(
+            F.count(F.lit(1)).alias("total_files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows")
+        )
+
+
+def read_batch(
+    spark: SparkSession,
+    path: str,
+    limits: listing.Limits = listing.PACKAGE_LIMITS,
+    stage: Stage | None = None,
+    split_above: int | None = None,
+) -> Batch:
+    """Validate and read one input. Every refused file refuses the whole batch.
+
+    The parse runs once: its rows are written to the shared folder, by contract, and read from there.
+    Files above `split_above` bytes are read in splits; they must not hold quoted text.
+    """
+    keep = stage or Staging(spark)
+    suffix = path.rstrip("/").rsplit("/", 1)[-1].lower()
+    if suffix.endswith(".zip"):
+        parts = [delimited.parse_files(_archive_files(spark, path, limits, keep))]
+    else:
+        parts = _folder_parts(spark, path, limits, keep, split_above)
+    parsed = keep("parsed", reduce(DataFrame.unionByName, parts))
+    _refuse(parsed.where("problem is not null").select("source_file", "problem"), DelimitedError)
+    return Batch(parsed)
+
+
+def _archive_files(spark: SparkSession, path: str, limits: listing.Limits, stage: Stage) -> DataFrame:
+    files = listing.binary_files(spark, path)
+    oversized = files.where(listing.over(F.col("length"), limits.archive_bytes))
+    _refuse(oversized.select("path", F.lit("archive over the size limit")), ArchiveError)
+    members = stage("manifest", archives.manifest(files))
+    _refuse(archives.member_problems(members, limits), ArchiveError)
+    expanded = stage("expanded", archives.expand(files, limits))
+    _refuse(expanded.where("problem is not null").select("source_file", "problem"), ArchiveError)
+    return expanded.select("source_file", "schema_hint", "content")
+
+
+def _folder_parts(
+    spark: SparkSession, path: str, limits: listing.Limits, stage: Stage, split_above: int | None
+) -> list[DataFrame]:
+    files = listing.list_files(spark, path)
+    if files.isEmpty():
+        raise InputError(f"no delimited file found: {path}")
+    _refuse(listing.listing_problems(files, limits), InputError)
+    name = listing.relative_to(F.col("path"), path)
+    small = listing.binary_files(spark, path)
+    if split_above is not None:
+        small = small.where(F.col("length") <= split_above)
+    content = small.withColumn("source_file", name).where(~listing.is_skipped(F.col("source_file")))
+    hinted = content.withColumn("schema_hint", listing.schema_hint(listing.base_name(F.col("source_file"))))
+    parts = [delimited.parse_files(hinted.select("source_file", "schema_hint", "content"))]
+    if split_above is not None:
+        large = files.where((F.col("length") > split_above) & ~F.col("skipped")).select("path")
+        paths = [row[0] for row in large.collect()]  # file names, as many as Spark's own index holds
+        if paths:
+            parts.append(delimited.split_lines(spark, paths, listing.relative_to(F.col("path"), path), stage))
+    return parts
