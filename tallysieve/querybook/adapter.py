@@ -187,7 +187,9 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_vehicles(spark: SparkSession, sf: str) -> DataFrame:
-    part = table(spark, sf, "part").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    # Spread the parts before each becomes many rows; a single row group would keep one task busy.
+    spread = table(spark, sf, "part").repartition(spark.sparkContext.defaultParallelism)
+    part = spread.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
     own = _select(part, vehicle_columns(False))
     return own.unionByName(_select(part.where(VEHICLE_COPY), vehicle_columns(True)))
 

@@ -27,6 +27,7 @@ class World:
         self.spark, self.sf = tune(spark), sf
         self.stage = Staging(spark)
         self._kept: dict[str, DataFrame] = {}
+        self._evaluation: Evaluation | None = None
 
     def _once(self, name: str, make) -> DataFrame:
         if name not in self._kept:
@@ -46,9 +47,9 @@ class World:
         return {name: canonical(self.clean(name), name) for name in DIMENSIONS}
 
     def evaluation(self) -> Evaluation:
-        ev = evaluate(self.tables(), as_of())
-        flagged = self._once("flagged", lambda: ev.flagged)
-        return Evaluation(flagged, ev.dims, ev.rules, ev.sale_columns)
+        if self._evaluation is None:
+            self._evaluation = evaluate(self.tables(), as_of(), stage=self.stage)
+        return self._evaluation
 
     @property
     def fact(self) -> DataFrame:
