@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..contracts import CONTRACTS
 from ..errors import ArchiveError, DelimitedError, IngestionError, InputError
@@ -99,9 +100,10 @@ def _archive_files(spark: SparkSession, path: str, limits: listing.Limits, stage
 def _folder_parts(
     spark: SparkSession, path: str, limits: listing.Limits, stage: Stage, split_above: int | None
 ) -> list[DataFrame]:
-    files = listing.list_files(spark, path)
-    if files.isEmpty():
-        raise InputError(f"no delimited file found: {path}")
+    try:
+        files = listing.list_files(spark, path)
+    except AnalysisException as error:
+        raise InputError(f"no such input: {path}") from error
     _refuse(listing.listing_problems(files, limits), InputError)
     name = listing.relative_to(F.col("path"), path)
     small = listing.binary_files(spark, path)

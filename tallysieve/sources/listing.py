@@ -6,6 +6,7 @@ Only file metadata is read. Spark's own file index holds the listing on the driv
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,8 +70,18 @@ def is_skipped(source_file: Column) -> Column:
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """One row per file below `root`: where it is, how big, what it should hold, whether it is skipped."""
-    files = binary_files(spark, root).select("path", "length", "modificationTime")
-    named = files.withColumn("source_file", relative_to(F.col("path"), root))
+    files = binary_files(spark, root)
+    # A scan leaves empty files out; the file index, which the driver holds anyway, still names them.
+    names = spark.createDataFrame([(unquote(n),) for n in files.inputFiles()], "name string")
+    key = lambda c: F.regexp_replace(c, r"^(\w+:)/+", "$1/")
+    scanned = files.select("path", "length", "modificationTime").withColumn("key", key(F.col("path")))
+    joined = names.withColumn("key", key(F.col("name"))).join(scanned, "key", "left")
+    filled = joined.select(
+        F.coalesce("path", "name").alias("path"),
+        F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+        "modificationTime",
+    )
+    named = filled.withColumn("source_file", relative_to(F.col("path"), root))
     return named.withColumns(
         {
             "schema_hint": schema_hint(base_name(F.col("source_file"))),
