@@ -141,12 +141,11 @@ def sales_failures(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def quality_report(failures: DataFrame) -> DataFrame:
-    """One row per catalog rule, zero counts included."""
+    """One row per catalog rule, zero counts included. `failures` has at most one row per rule."""
     catalog = catalog_table(failures.sparkSession)
     n = F.coalesce(F.col("failed_rows"), F.lit(0)).cast("bigint")
     return (
-        F.broadcast(catalog)
-        .join(failures, "rule_id", "left")
+        catalog.join(F.broadcast(failures), "rule_id", "left")
         .select(
             "position", F.col("rule_id").alias("check"), "rule_id", "description", "severity", "dataset",
             "condition", "treatment", "reason", "invalidates_sale", n.alias("failed_rows"),

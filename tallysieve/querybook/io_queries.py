@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from ..operators import explore, keys, marts
 from ..plans import run
 from ..sinks import exports, publish
 from ..sources import archives, batch, delimited, listing, published
@@ -17,7 +18,6 @@ from . import adapter, oracle as o
 from .book import query
 from .scalar_queries import _BOARD
 from .table_queries import _RECONCILED
-from ..operators import explore, marts
 from .world import as_of
 
 SALES = ", ".join(fv.CONTRACT_COLUMNS["vendas"])
@@ -211,17 +211,9 @@ def _(w):
     return _batch(w).summary().groupBy("schema_name", "encoding", "delimiter").agg(F.sum("rows").alias("rows"))
 
 
-@query("a12_source_order", "select __source_file, __source_line, row_number() over (partition by venda_id order by lower(__source_file), __source_file, __source_line) as posicao from vendas where venda_id is not null")
+@query("a12_source_order", "select __source_file, __source_line, venda_id from vendas order by lower(__source_file), __source_file, __source_line")
 def _(w):
-    """Position of each row among the rows of its id, in source order; made for ids, not for hot keys."""
-    from pyspark.sql import Window
-
-    from ..operators import keys
-
-    order = Window.partitionBy("venda_id").orderBy(*keys.source_order())
-    return w.clean("vendas").where("venda_id is not null").select(
-        "__source_file", "__source_line", F.row_number().over(order).cast("bigint").alias("posicao")
-    )
+    return w.clean("vendas").orderBy(*keys.source_order()).select("__source_file", "__source_line", "venda_id")
 
 
 @query("a13_pick_batch", "select true as picked where (select count(*) from lineitem) > 0")
