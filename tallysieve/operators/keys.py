@@ -20,9 +20,9 @@ from .. import fixed_values as fv
 
 SOURCE_ORDER = (fv.SOURCE_FILE, fv.SOURCE_LINE)
 # At most this many keys are tracked as hot: the proven bound of every hot-key broadcast below.
-MAX_HOT_KEYS = 100
+MAX_HOT_KEYS = 1000
 # A key counts as hot from this share of the rows on; MAX_HOT_KEYS such keys fit by arithmetic.
-HOT_SHARE = 0.01
+HOT_SHARE = 0.001
 
 
 def source_order() -> list[Column]:
@@ -71,11 +71,11 @@ def first_occurrences(df: DataFrame, key: str) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(key_name, key): keys likely to hold at least HOT_SHARE of the rows, in one pass for all columns.
 
-    A sketch of fixed size per column; no shuffle beyond one row per task. Whether a key is listed only
+    NULL is listed too where it is that frequent. A sketch of fixed size per column; no shuffle beyond one row per task. Whether a key is listed only
     decides how its rows travel, never which rows match.
     """
     tops = [F.expr(f"approx_top_k(cast({k} as string), {MAX_HOT_KEYS})").alias(k) for k in keys]
-    # Through JSON-free structs only: one row per column, exploded to at most MAX_HOT_KEYS rows.
+    # One row, exploded to at most MAX_HOT_KEYS rows per column.
     wide = df.agg(F.count(F.lit(1)).alias("total"), *tops)
     listed = wide.select(
         "total",
@@ -83,9 +83,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).alias("top")) for k in keys])
         ).alias("x"),
     ).select("total", "x.key_name", F.explode("x.top").alias("t"))
-    return listed.where(
-        F.col("t.item").isNotNull() & (F.col("t.count") >= F.col("total") * HOT_SHARE)
-    ).select("key_name", F.col("t.item").alias("key"))
+    return listed.where(F.col("t.count") >= F.col("total") * HOT_SHARE).select(
+        "key_name", F.col("t.item").alias("key")
+    )
 
 
 def lookup_join(
@@ -108,6 +108,7 @@ def lookup_join(
 
     parts = []
     if hot is not None:
+        hot = hot.where(F.col("hot_key").isNotNull())
         # Both sides hold at most MAX_HOT_KEYS rows here. Hot keys without a match stay listed: their
         # rows must not meet in one shuffle partition either.
         met_hot = right.join(F.broadcast(hot), F.col(key).cast("string") == F.col("hot_key"), "left_semi")

@@ -6,7 +6,7 @@ A rule names the look-ups it needs, so that asking for one rule only joins what
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,9 +118,9 @@ def apply_rules(prepared: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return flagged.withColumns({ISSUES: issues, VALID: ~broken})
 
 
-def catalog_table(spark: SparkSession) -> DataFrame:
-    """The rule texts as rows with their report position; always one row per rule of the catalog."""
-    rows = [(i, *fv.RULE_TEXTS[i]) for i in range(len(fv.RULE_TEXTS))]
+def catalog_table(spark: SparkSession, extra: Sequence[RuleText] = ()) -> DataFrame:
+    """The rule texts as rows with their report position, rules of the user last."""
+    rows = [(i, *astuple(text)) for i, text in enumerate((*CATALOG, *extra))]
     return spark.createDataFrame(
         rows,
         "position int, rule_id string, description string, severity string, dataset string, "
@@ -140,9 +140,9 @@ def sales_failures(flagged: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.unpivot([], [r.rule_id for r in rules], "rule_id", "failed_rows")
 
 
-def quality_report(failures: DataFrame) -> DataFrame:
+def quality_report(failures: DataFrame, extra: Sequence[RuleText] = ()) -> DataFrame:
     """One row per catalog rule, zero counts included. `failures` has at most one row per rule."""
-    catalog = catalog_table(failures.sparkSession)
+    catalog = catalog_table(failures.sparkSession, extra)
     n = F.coalesce(F.col("failed_rows"), F.lit(0)).cast("bigint")
     return (
         catalog.join(F.broadcast(failures), "rule_id", "left")

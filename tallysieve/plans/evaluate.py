@@ -48,15 +48,16 @@ def prepare_sales(
     needs: set[str],
     hot: DataFrame | None = None,
     stage: Stage = lazy,
+    detours: frozenset[str] = frozenset(SALE_KEYS),
 ) -> DataFrame:
-    """Sales rows with the look-ups that `needs` asks for.
+    """Sales rows with the look-ups that `needs` asks for; `detours` are the keys that have hot values.
 
     `dims` are canonical (one row per key). The vehicle look-up brings the repeat mark along in the same
     join when both are asked for, so that the sales rows are shuffled once for it.
     """
 
     def hot_of(key: str) -> DataFrame | None:
-        if hot is None:
+        if hot is None or key not in detours:
             return None
         return hot.where(F.col("key_name") == key).select(F.col("key").alias("hot_key"))
 
@@ -76,11 +77,8 @@ def prepare_sales(
         repeats = keys.repeated_keys(sales.where(F.col("veiculo_id").isNotNull()), "veiculo_id").select(
             "veiculo_id", F.lit(True).alias(rules.VEHICLE_SALES)
         )
-        repeats = stage("repeated_vehicles", repeats)
-        if "vehicle" in needs:
-            lookup = known("veiculos").join(repeats, "veiculo_id", "full")
-        else:
-            lookup = repeats
+        lookup = known("veiculos").join(repeats, "veiculo_id", "full") if "vehicle" in needs else repeats
+        lookup = stage("vehicle_lookup", lookup)
         out = keys.lookup_join(out, lookup, "veiculo_id", hot_of("veiculo_id"))
     elif "vehicle" in needs:
         out = keys.lookup_join(out, known("veiculos"), "veiculo_id", hot_of("veiculo_id"))
@@ -136,7 +134,8 @@ class Evaluation:
             keys.repeated_row_count(self.dims[dataset], key).select(F.lit(rule_id).alias("rule_id"), "failed_rows")
             for rule_id, (dataset, key) in rules.DIMENSION_RULES.items()
         ]
-        return rules.quality_report(reduce(DataFrame.unionByName, dim_parts, sales_part))
+        own = [r.text for r in self.rules if r.rule_id not in rules.BY_ID]
+        return rules.quality_report(reduce(DataFrame.unionByName, dim_parts, sales_part), own)
 
 
 def canonical_columns(dim: DataFrame, name: str) -> list[str]:
@@ -158,11 +157,16 @@ def evaluate(
     """Flag all sales against the rules. `tables` are normalised: vendas, veiculos, lojas, consultores."""
     sales = tables["vendas"]
     chosen = (*rules.sales_rules(as_of), *extra_rules)
-    hot = stage("hot_keys", keys.hot_keys(sales, SALE_KEYS)) if split_hot_keys else None
+    hot, detours = None, frozenset(SALE_KEYS)
+    if split_hot_keys:
+        hot = stage("hot_keys", keys.hot_keys(sales, SALE_KEYS))
+        if stage is not lazy:
+            # At most one row per join column. Columns without hot values take the plain join.
+            detours = frozenset(row[0] for row in hot.select("key_name").distinct().collect())
     # The fact needs all three dimensions, whatever the rules ask for.
     needs = rules.needs_of(chosen) | {"vehicle", "store", "consultant"}
     canon = {name: stage(f"canonical_{name}", canonical(tables[name], name)) for name in DIMENSIONS}
-    prepared = prepare_sales(sales, canon, needs, hot, stage)
+    prepared = prepare_sales(sales, canon, needs, hot, stage, detours)
     flagged = stage("flagged", rules.apply_rules(prepared, chosen))
     dims = {name: tables[name] for name in DIMENSIONS}
     return Evaluation(flagged, dims, chosen, tuple(sales.columns))

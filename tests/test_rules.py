@@ -182,3 +182,4 @@ def test_user_rule(make_tables):
     own = rules.Rule(text, lambda: F.col("valor_venda") < 50)
     ev = evaluate(normalise_all(make_tables({"valor_venda": "10"}, {"venda_id": "S2"})), extra_rules=[own])
     assert [r[0] for r in ev.rejected.select("quality_issues").collect()][0].endswith("cheap_sale")
+    assert report_of(ev)["cheap_sale"] == (1, "failed")
