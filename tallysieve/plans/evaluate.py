@@ -66,6 +66,9 @@ def prepare_sales(
         mark = F.when(F.col(key).isNotNull(), F.lit(True))
         return dims[name].withColumn(_KNOWN[name], mark)
 
+    def staged(name: str) -> DataFrame:
+        return stage(f"lookup_{name}", known(name))
+
     out = sales
     if "later" in needs:
         firsts = stage("repeated_sales", keys.first_occurrences(sales, "venda_id"))
@@ -78,16 +81,16 @@ def prepare_sales(
             "veiculo_id", F.lit(True).alias(rules.VEHICLE_SALES)
         )
         lookup = known("veiculos").join(repeats, "veiculo_id", "full") if "vehicle" in needs else repeats
-        lookup = stage("vehicle_lookup", lookup)
+        lookup = stage("lookup_veiculos", lookup)
         out = keys.lookup_join(out, lookup, "veiculo_id", hot_of("veiculo_id"))
     elif "vehicle" in needs:
-        out = keys.lookup_join(out, known("veiculos"), "veiculo_id", hot_of("veiculo_id"))
+        out = keys.lookup_join(out, staged("veiculos"), "veiculo_id", hot_of("veiculo_id"))
     if "store" in needs:
-        out = keys.lookup_join(out, known("lojas"), "loja_id", hot_of("loja_id"))
+        out = keys.lookup_join(out, staged("lojas"), "loja_id", hot_of("loja_id"))
     if "consultant" in needs:
         # A sale without consultant takes up the row of a NULL consultant where the dimension has one.
         out = keys.lookup_join(
-            out, known("consultores"), "consultor_id", hot_of("consultor_id"), null_matches=True
+            out, staged("consultores"), "consultor_id", hot_of("consultor_id"), null_matches=True
         )
     return out
 
@@ -165,7 +168,7 @@ def evaluate(
             detours = frozenset(row[0] for row in hot.select("key_name").distinct().collect())
     # The fact needs all three dimensions, whatever the rules ask for.
     needs = rules.needs_of(chosen) | {"vehicle", "store", "consultant"}
-    canon = {name: stage(f"canonical_{name}", canonical(tables[name], name)) for name in DIMENSIONS}
+    canon = {name: canonical(tables[name], name) for name in DIMENSIONS}
     prepared = prepare_sales(sales, canon, needs, hot, stage, detours)
     flagged = stage("flagged", rules.apply_rules(prepared, chosen))
     dims = {name: tables[name] for name in DIMENSIONS}

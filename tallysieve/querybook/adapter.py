@@ -13,7 +13,7 @@ from ..plans.normalise import normalise
 
 AS_OF = "2026-01-01"
 COPIES = 30  # vehicles per part
-NBSP = " "
+NBSP = "\u00a0"
 
 
 def _day(iso: str, shape: int) -> str:

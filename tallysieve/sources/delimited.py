@@ -34,7 +34,7 @@ def encoding_of(content: Column) -> Column:
 
 
 def header_line(content: Column) -> Column:
-    text = F.regexp_replace(content.cast("string"), "^﻿", "")
+    text = F.regexp_replace(content.cast("string"), "^\ufeff", "")
     return F.regexp_extract(text, r"^([^\r\n]*)", 1)
 
 
@@ -188,8 +188,8 @@ def split_lines(spark: SparkSession, path: str, source_file: Column, stage: Stag
     numbered = lines.join(bases, ["path", "start"]).withColumn(
         "line", F.col("base") + F.col("place") - F.col("first") + 1
     )
-    bom = (F.col("line") == 1) & F.col("value").startswith("﻿")
-    text = F.when(F.col("line") == 1, F.regexp_replace("value", "^﻿", "")).otherwise(F.col("value"))
+    bom = (F.col("line") == 1) & F.col("value").startswith("\ufeff")
+    text = F.when(F.col("line") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
     headers = (
         numbered.where(F.col("line") == 1)
         .select("path", bom.alias("marked"), text.alias("header"))

@@ -13,7 +13,7 @@ def column(spark, values, make, kind="string"):
 
 
 def test_clean_text_strips_unicode_space_and_null_words(spark):
-    values = [" N/A ", "null", "-", "", "　a b\x1f\t", "\xa0Nan", "nullx", "a\nb\n", "--", None]
+    values = [" N/A ", "null", "-", "", "\u3000a b\x1f\t", "\xa0Nan", "nullx", "a\nb\n", "--", None]
     assert column(spark, values, text.clean_text) == [None, None, None, None, "a b", None, "nullx", "a\nb", "--", None]
     assert column(spark, [" ab ", "none"], text.clean_id) == ["AB", None]
 

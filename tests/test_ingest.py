@@ -27,7 +27,7 @@ SALES_ROWS = [tuple({**SALE, **c}.values()) for c in (
 FILES = {
     "dados/vendas/vendas_2025_01.csv": text_of("vendas", SALES_ROWS),
     "dados/dimensoes/dim_veiculos.csv": text_of("veiculos", CARS),
-    "dados/dimensoes/dim_lojas.csv": "﻿" + text_of("lojas", STORES),
+    "dados/dimensoes/dim_lojas.csv": "\ufeff" + text_of("lojas", STORES),
     "dados/dimensoes/dim_consultores.csv": text_of("consultores", PEOPLE),
     "README.md": "# texto",
 }
