@@ -15,9 +15,11 @@ SHARED_FOLDER = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the session; a new temporary one only where the session names none."""
+    """The folder named by the session; a temporary one only where none is named and driver and tasks are one process."""
     named = spark.conf.get(SHARED_FOLDER, None)
     if not named:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError(f"{SHARED_FOLDER} must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tallysieve-")
         spark.conf.set(SHARED_FOLDER, named)
     return named.rstrip("/")
