@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, packing, quality
+from . import decontamination, language, packing, quality
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
@@ -27,6 +31,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op5_packing": op5_packing,
+    "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
 }
 ORACLES: dict[str, str] = {}

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import fold, hash_order
 
 #: Bytes in a row, hidden units of each direction, rows computed together.
-STEPS, HIDDEN, ROWS = 64, 4, 1024
+STEPS, HIDDEN, ROWS = 64, 8, 1024
 #: Fitting sample: documents of each language and rows of each document.
 DOCS_PER_LANG, ROWS_PER_DOC = 400, 12
 EPOCHS, BATCH, RATE, SEED = 4, 128, 0.02, 11
