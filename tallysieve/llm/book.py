@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, packing, quality
+from . import decontamination, language, packing, quality, rules, secrets
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
@@ -30,6 +38,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_secret_scan": op2_secret_scan,
+    "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
