@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, licenses, packing, quality, rules, secrets
+from . import decontamination, language, licenses, neardup, packing, quality, rules, secrets
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir))
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(documents(spark, sf_dir))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
+    "op8_minhash_neardup": op8_minhash_neardup,
     "op9_license_scan": op9_license_scan,
 }
 ORACLES: dict[str, str] = {"op9_license_scan": licenses.oracle()}
