@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, licenses, neardup, packing, quality, rules, secrets
+from . import decontamination, language, licenses, neardup, packing, passages, quality, rules, secrets, suffixes
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -44,14 +48,20 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scan": op2_secret_scan,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_license_scan": op9_license_scan,
+    "op10_suffix_array": op10_suffix_array,
 }
 ORACLES: dict[str, str] = {"op9_license_scan": licenses.oracle()}
