@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import decontamination, language, licenses, neardup, packing, passages, quality, rules, secrets, suffixes
@@ -63,5 +64,8 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_license_scan": op9_license_scan,
     "op10_suffix_array": op10_suffix_array,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op9_license_scan": licenses.oracle()}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
