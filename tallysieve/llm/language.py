@@ -25,7 +25,7 @@ from .common import fold, hash_order
 #: Bytes in a row, hidden units of each direction, rows computed together.
 STEPS, HIDDEN, ROWS = 64, 8, 1024
 #: Fitting sample: documents of each language and rows of each document.
-DOCS_PER_LANG, ROWS_PER_DOC = 400, 12
+DOCS_PER_LANG, ROWS_PER_DOC, SALTS = 400, 12, 64
 EPOCHS, BATCH, RATE, SEED = 4, 128, 0.02, 11
 PAD = 256
 UNKNOWN = "und"
@@ -176,9 +176,13 @@ def rows_of(body: bytes) -> np.ndarray:
 
 def fitting_rows(docs: DataFrame, per_lang: int = DOCS_PER_LANG, per_doc: int = ROWS_PER_DOC) -> DataFrame:
     """(lang, row) of up to `per_doc` rows, spread over the whole text, of `per_lang` documents of each language."""
-    ids = docs.where("lang is not null and doc_id is not null and text is not null").select("doc_id", "lang")
-    ranked = ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(hash_order(F.col("doc_id")), "doc_id")))
-    drawn = ranked.where(F.col("place") <= per_lang).select("doc_id").distinct()
+    ids = docs.where("lang is not null and doc_id is not null and text is not null")
+    ids = ids.select("doc_id", "lang", hash_order(F.col("doc_id")).alias("order"), F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt"))
+    # First within salts of each language, since one language may hold most rows, then within the language.
+    for within in (["lang", "salt"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*within).orderBy("order", "doc_id"))
+        ids = ids.withColumn("place", place).where(F.col("place") <= per_lang)
+    drawn = ids.select("doc_id").distinct()
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
