@@ -154,9 +154,9 @@ def leaky(vocabulary):
     for k in range(400):
         words = make_text(rng, 30, vocabulary).split()
         if k % 2:
-            words[9] = 'token = "' + "".join(rng.choice("0123456789abcdef") for _ in range(40)) + '"'
+            words[9] = 'token = "' + "".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(24, 40))) + '"'
         else:
-            words[9] = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20))
+            words[9] = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(16, 40)))
             words[20] = str(rng.randrange(10**15, 10**16))
         rows.append((k, " ".join(words)))
     return rows
