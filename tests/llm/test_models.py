@@ -168,8 +168,9 @@ def test_network_adds_findings_and_leaves_words_alone(frame, leaky):
     net = secrets.learn(frame(leaky))
     out = secrets.scan_texts(net, [t for _, t in leaky])
     assert not any(added for _, added, _ in out[::2]) and all(base for base, _, _ in out[1::2])
-    out = secrets.scan_texts(net, [f"some words before {m} and words behind" for m in mixed])
-    assert sum(len(added) for _, added, _ in out) >= 15
+    short = secrets.scan_texts(net, [f"some words before {m} and words behind" for m in mixed])
+    assert sum(len(added) for _, added, _ in short) >= 5
+    assert min(top for *_, top in short) > max(top for *_, top in out[::2])
 
 
 def test_network_gradients():
