@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import functools
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ END_ID = 2
 SHARD_PIECES = 20_000
 #: Words and stripped words whose ids a Python worker remembers, about 200 bytes each; beyond it only those of the texts
 #: at hand are kept.
-MEMORY_WORDS, MEMORY_CORES = 300_000, 500_000
+MEMORY_WORDS, MEMORY_CORES = 700_000, 1_000_000
 #: Stripped from the ends of words before they are encoded; no apostrophe, which the tokenizer treats with what follows.
 PUNCTUATION = b".,!?;:#$%&*|()"
 PIECES = (
@@ -156,9 +157,11 @@ def token_pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW,
     return texts(docs).mapInPandas(cut, PIECES)
 
 
-def closest_fill(lengths: list[tuple[int, int]], room: int) -> dict[int, int]:
+def closest_fill(lengths: Iterable[tuple[int, int]], room: int) -> dict[int, int]:
     """Of (length, count), the counts to take whose sum is the largest not above `room`."""
     reach, steps, mask = 1, [], (1 << (room + 1)) - 1
+    if not room:
+        return {}
     for length, count in lengths:
         if length > room:
             continue
@@ -182,20 +185,18 @@ def closest_fill(lengths: list[tuple[int, int]], room: int) -> dict[int, int]:
 def fill_windows(lengths: list[int], window: int = WINDOW) -> list[tuple[int, dict[int, int]]]:
     """Windows as (times, {length: count}); together they use every length exactly once."""
     left = Counter(lengths)
+    order = sorted(left)  # lengths that are left, in ascending order
     out = []
-    while left:
-        longest = max(left)
-        left[longest] -= 1
-        if not left[longest]:
-            del left[longest]
-        pattern = Counter(closest_fill(sorted(left.items(), reverse=True), window - longest))
+    while order:
+        longest = order[-1]
+        rest = ((n, left[n] - (n == longest)) for n in reversed(order))
+        pattern = Counter(closest_fill(rest, window - longest))
         pattern[longest] += 1
-        left[longest] += 1
         times = min(left[n] // k for n, k in pattern.items())
         for n, k in pattern.items():
             left[n] -= k * times
             if not left[n]:
-                del left[n]
+                del order[bisect_left(order, n)]
         out.append((times, dict(pattern)))
     return out
 
