@@ -32,8 +32,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: At similarity 0.8 a pair shares none of the bands with probability 6e-7.
 BANDS, REGISTERS_PER_BAND = 36, 5
 REGISTERS = BANDS * REGISTERS_PER_BAND
-#: Leaders that a bucket compares in each round after the first.
-LEADERS = 16
+#: Leaders that a bucket compares in the second round, and how many times more in each later one.
+LEADERS, GROWTH = 16, 4
 PORTION = 2_000_000
 
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -141,7 +141,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
-    """Of (a, b), those whose texts are similar enough."""
+    """(ca, cb) of the pairs (a, b) whose texts are similar enough; ca and cb are their classes so far."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -155,31 +155,37 @@ def verified(pairs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame
                 return sets[text]
 
             keep = [similarity(of(s), of(t)) >= threshold for s, t in zip(frame["text_a"], frame["text_b"])]
-            yield frame.loc[keep, ["a", "b"]]
+            yield frame.loc[keep, ["ca", "cb"]]
 
     first = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     second = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(second, "b").join(first, "a").mapInPandas(run, "a long, b long")
+    return pairs.join(second, "b").join(first, "a").mapInPandas(run, "ca long, cb long").distinct()
 
 
 def connected(links: DataFrame, stage: Stage, label: str) -> DataFrame:
-    """(doc_id, class) of every linked document: the smallest id of its component."""
-    ends = links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct()
-    named = stage(f"{label}-0", ends.withColumn("class", F.col("doc_id")))
+    """(class, to): the smallest id of its component for every id in the links (ca, cb)."""
+    ends = links.select(F.col("ca").alias("class")).union(links.select("cb")).distinct()
+    named = stage(f"{label}-0", ends.withColumn("to", F.col("class")))
     turn = 0
     while True:
         turn += 1
-        a = named.select(F.col("doc_id").alias("a"), F.col("class").alias("ca"))
-        b = named.select(F.col("doc_id").alias("b"), F.col("class").alias("cb"))
-        apart = links.join(a, "a").join(b, "b").where("ca <> cb")
-        hooks = apart.select(F.greatest("ca", "cb").alias("class"), F.least("ca", "cb").alias("to")).groupBy("class").agg(F.min("to").alias("to"))
+        a = named.select(F.col("class").alias("ca"), F.col("to").alias("ta"))
+        b = named.select(F.col("class").alias("cb"), F.col("to").alias("tb"))
+        apart = links.join(a, "ca").join(b, "cb").where("ta <> tb")
+        hooks = apart.select(F.greatest("ta", "tb").alias("to"), F.least("ta", "tb").alias("on")).groupBy("to").agg(F.min("on").alias("on"))
         hooks = stage(f"{label}-{turn}-hooks", hooks)
         if hooks.isEmpty():
             return named
-        # A class hooked to one that is itself hooked goes further with it at once.
-        further = hooks.select(F.col("class").alias("to"), F.col("to").alias("beyond"))
-        hooks = hooks.join(further, "to", "left").select("class", F.coalesce("beyond", "to").alias("to"))
-        named = stage(f"{label}-{turn}", named.join(hooks, "class", "left").select("doc_id", F.coalesce("to", "class").alias("class")))
+        # An id hooked to one that is itself hooked goes further with it at once.
+        further = hooks.select(F.col("to").alias("on"), F.col("on").alias("beyond"))
+        hooks = hooks.join(further, "on", "left").select("to", F.coalesce("beyond", "on").alias("on"))
+        named = stage(f"{label}-{turn}", named.join(hooks, "to", "left").select("class", F.coalesce("on", "to").alias("to")))
+
+
+def renamed(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """`rows` with their class replaced where it was merged into another."""
+    others = [c for c in rows.columns if c != "class"]
+    return rows.join(merged, "class", "left").select(*others, F.coalesce("to", "class").alias("class"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -192,34 +198,35 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     shared = members.groupBy("bucket").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = stage("members-0", members.join(shared, "bucket"))
     stars = members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = stage("pairs-0", stars)
+    pairs = stage("pairs-0", stars.withColumns({"ca": F.col("a"), "cb": F.col("b")}))
+    bodies = stage("bodies", texts(docs).join(members.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"]))
 
-    candidates = members.select("doc_id").distinct()
-    bodies = stage("bodies", texts(docs).join(candidates, "doc_id").dropDuplicates(["doc_id"]))
-    links = stage("links-0", verified(stars, bodies, threshold))
-    members = members.where("doc_id <> leader").drop("leader")  # leaders are compared with all their bucket
-    turn = 0
+    merges = []
+    # Leaders are compared with all of their bucket, and leave it.
+    members = members.where("doc_id <> leader").select("bucket", "doc_id", F.col("doc_id").alias("class"))
+    turn, leaders = 0, LEADERS
     while True:
+        links = stage(f"links-{turn}", verified(pairs, bodies, threshold))
+        merges.append(connected(links, stage, f"classes-{turn}"))
         turn += 1
-        known = connected(links, stage, f"classes-{turn}")
-        open_ = members.join(known, "doc_id", "left").select("bucket", "doc_id", F.coalesce("class", "doc_id").alias("class"))
+        open_ = renamed(members, merges[-1])
         mixed = open_.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
         open_ = stage(f"members-{turn}", open_.join(mixed.select("bucket"), "bucket"))
         if open_.isEmpty():
             break
         place = F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id"))
-        leaders = open_.withColumn("place", place).where(F.col("place") <= LEADERS).drop("place")
-        leaders = stage(f"leaders-{turn}", leaders)
-        lead = leaders.select("bucket", F.col("doc_id").alias("a"), F.col("class").alias("class_a"))
-        pairs = open_.join(lead, "bucket").where("a < doc_id and class <> class_a").select("a", F.col("doc_id").alias("b")).distinct()
-        more = stage(f"links-{turn}", verified(stage(f"pairs-{turn}", pairs), bodies, threshold))
-        links = links.unionByName(more)
-        members = open_.join(leaders.select("bucket", "doc_id"), ["bucket", "doc_id"], "left_anti").drop("class")
-
-    ids = texts(docs).select("doc_id")
-    owners = first.join(known, "doc_id", "left").select("key", F.coalesce("class", "doc_id").alias("class_id"))
-    found = rows.select("doc_id", "key").join(owners, "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    out = ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+        chosen = stage(f"leaders-{turn}", open_.withColumn("place", place).where(F.col("place") <= leaders).drop("place"))
+        lead = chosen.select("bucket", F.col("doc_id").alias("a"), F.col("class").alias("ca"))
+        others = open_.select("bucket", F.col("doc_id").alias("b"), F.col("class").alias("cb"))
+        pairs = stage(f"pairs-{turn}", others.join(lead, "bucket").where("a < b and ca <> cb").drop("bucket").distinct())
+        members = open_.join(chosen.select("bucket", "doc_id"), ["bucket", "doc_id"], "left_anti")
+        leaders *= GROWTH
+
+    owners = first.select("key", F.col("doc_id").alias("class"))
+    for merged in merges:
+        owners = renamed(owners, merged)
+    found = rows.select("doc_id", "key").join(owners, "key").groupBy("doc_id").agg(F.min("class").alias("class_id"))
+    out = texts(docs).select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
