@@ -53,9 +53,6 @@ REFUSED_BOM_HEX = ("FFFE0000", "0000FEFF", "FFFE", "FEFF")
 # --- Fixed values: cleaning ----------------------------------------------------------------------
 NULL_WORDS = ("", "na", "n/a", "null", "none", "nan", "-")
 CURRENCY_SIGN = "R$"
-# Y-m-d, Y/m/d and d/m/Y, and how their parts read as year-month-day.
-DATE_SHAPES = r"([0-9]{4})([-/])([0-9]{1,2})\2([0-9]{1,2})|([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})"
-DATE_ORDER = "$1$7-$3$6-$4$5"
 PLACEHOLDER_AMOUNT = "9999999.00"
 
 # --- Fixed values: quality rules, in report order ------------------------------------------------
@@ -159,9 +156,6 @@ MISSING_TEXT = "—"
 ZERO_PERCENT = "0,00%"
 COMPACT_UNITS = ((1_000_000_000, "B"), (1_000_000, "M"), (1_000, "mil"))
 TICK_MULTIPLIERS = (1.0, 2.0, 2.5, 5.0, 10.0)
-BOARD_TITLES = {
-    "check": "Regra", "severity": "Severidade", "failed_rows": "Registros afetados", "status": "Status",
-}
 TRACE_TITLES = {
     "venda_id": "Venda", "data_venda": "Data", "quality_issues": "Alertas de qualidade", "marca": "Marca",
     "modelo": "Modelo", "loja": "Loja", "uf": "UF", "consultor": "Consultor",

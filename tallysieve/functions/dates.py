@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .. import fixed_values as fv
 from .text import SPACE_CLASS
 
-_DATE_TEXT = rf"(?s)^(?:{SPACE_CLASS}*(?:{fv.DATE_SHAPES}){SPACE_CLASS}*|.*)$"
+# Y-m-d, Y/m/d and d/m/Y, and how their parts read as year-month-day.
+DATE_SHAPES = r"([0-9]{4})([-/])([0-9]{1,2})\2([0-9]{1,2})|([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})"
+DATE_ORDER = "$1$7-$3$6-$4$5"
+_DATE_TEXT = rf"(?s)^(?:{SPACE_CLASS}*(?:{DATE_SHAPES}){SPACE_CLASS}*|.*)$"
 
 
 def parse_date(c: Column) -> Column:
@@ -17,7 +19,7 @@ def parse_date(c: Column) -> Column:
     One regex brings every accepted shape to year-month-day and anything else - null words, a year only,
     trailing time - to `--`, which is no date.
     """
-    return F.regexp_replace(c, _DATE_TEXT, fv.DATE_ORDER).try_cast("date")
+    return F.regexp_replace(c, _DATE_TEXT, DATE_ORDER).try_cast("date")
 
 
 def month_of(c: Column) -> Column:

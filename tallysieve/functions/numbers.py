@@ -14,19 +14,15 @@ PERCENT = "decimal(9,4)"
 # operands, and (24,2) still leaves 14 decimals in the quotient with room for 10**22 in the sum.
 SUM = "decimal(24,2)"
 
-# Up to two significant decimals; a zero may carry any exponent.
-_PLAIN_MONEY = (
-    r"^([+-]?(?:\p{Nd}+(?:\.\p{Nd}{0,2})?|\.\p{Nd}{1,2}))"
-    r"(?:0*|0*(?<=^[+-]?[0.]{1,40})[eE][+-]?\p{Nd}{1,3})$"
-)
-# Exponent forms whose value fits decimal(38,18) without loss.
-_EXPONENT_MONEY = (
-    r"^[+-]?(?:(?:\p{Nd}{1,16}(?:\.\p{Nd}{0,16})?|\.\p{Nd}{1,16})[eE]\+?\p{Nd}{1,2}"
-    r"|(?:\p{Nd}{1,16}(?:\.\p{Nd}{0,9})?|\.\p{Nd}{1,9})[eE]-0?\p{Nd})$"
-)
-_EXACT_CENTS = r"^(-?[0-9]+\.[0-9]{2})0*$"
-# Every dot of a text that holds a comma.
-_GROUPING_DOT = r"\.(?:(?=[^,]*,)|(?<=,[^,]{0,64}\.))"
+# Up to two significant decimals.
+_PLAIN_MONEY = r"^([+-]?(?:\p{Nd}+(?:\.\p{Nd}{0,2})?|\.\p{Nd}{1,2}))0*$"
+# Sign, whole digits, decimals, sign and digits of the exponent.
+_ANY_MONEY = r"^([+-]?)(\p{Nd}*)\.?(\p{Nd}*)(?:[eE]([+-]?)0*(?=\p{Nd}|(?<=0))(\p{Nd}*))?$"
+# Digits that amounts of MONEY can have at most, with some room for leading zeros; more zeros are never written out.
+_MOST_ZEROS = 40
+# Dots before the last comma, then dots behind a comma.
+_DOT_BEFORE_COMMA = r"\.(?=[^,]*,)"
+_DOT_BEHIND_COMMA = r"(,[^.]*|\G(?!\A)[^.]*)\."
 _NUMBER = r"(?i)^[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity)$"
 
 
@@ -36,7 +32,8 @@ def _bare_number(c: Column) -> Column:
     Next to a comma dots are grouping and the comma is the decimal mark; without one they stay.
     """
     dense = F.translate(F.replace(c, F.lit(fv.CURRENCY_SIGN), F.lit("")), WHITE_SPACE, "")
-    return F.translate(F.regexp_replace(dense, _GROUPING_DOT, ""), ",", ".")
+    grouped = F.regexp_replace(F.regexp_replace(dense, _DOT_BEFORE_COMMA, ""), _DOT_BEHIND_COMMA, "$1")
+    return F.translate(grouped, ",", ".")
 
 
 def number_text(c: Column) -> Column:
@@ -47,13 +44,24 @@ def number_text(c: Column) -> Column:
 def parse_money(c: Column) -> Column:
     """Exact amount; a third significant decimal means NULL, never rounding. Null words match no form.
 
-    Nearly every row is settled by the first branch; the second reads exponents. Digits of other scripts
-    and group underscores count as in the plain form.
+    Nearly every row is settled by the first branch; the second reads exponents of any size by moving the decimal
+    mark in the text, so that no digit is lost. Digits of other scripts and group underscores count as in the plain form.
     """
     text = F.translate(_bare_number(c), "_", "")
     plain = F.regexp_extract(text, _PLAIN_MONEY, 1).try_cast(MONEY)
-    wide = F.regexp_extract(text, _EXPONENT_MONEY, 0).try_cast("decimal(38,18)")
-    return F.coalesce(plain, F.regexp_extract(wide.cast("string"), _EXACT_CENTS, 1).try_cast(MONEY))
+    return F.coalesce(plain, _shifted_money(text))
+
+
+def _shifted_money(text: Column) -> Column:
+    """Cents as digits with the zeros that the exponent adds; NULL if digits below a cent remain."""
+    sign, whole, decimals, turn, power = (F.regexp_extract(text, _ANY_MONEY, k) for k in range(1, 6))
+    mantissa = F.concat(whole, decimals)
+    digits = F.rtrim(mantissa, F.lit("0"))
+    exponent = F.when(power == "", F.lit(0)).otherwise(F.concat(turn, power).try_cast("int"))
+    zeros = F.length(whole) + exponent.cast("bigint") + 2 - F.length(digits)
+    cents = F.concat(sign, digits, F.repeat(F.lit("0"), zeros.cast("int")), F.lit("e-2"))
+    zero = F.lit(0).cast(MONEY)
+    return F.when(mantissa == "", None).when(digits == "", zero).when(zeros.between(0, _MOST_ZEROS), cents.try_cast(MONEY))
 
 
 def parse_number(c: Column) -> Column:

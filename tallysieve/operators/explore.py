@@ -10,7 +10,7 @@ from dataclasses import dataclass, field, fields
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -144,10 +144,10 @@ def by_channel(sales: DataFrame) -> DataFrame:
     counts = sales.groupBy(text.or_not_informed(F.col("canal_origem")).alias("canal")).agg(
         F.count(F.lit(1)).alias("vendas")
     )
-    total = sales.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.withColumn("percentual", ptbr.ratio_text(F.col("vendas"), total)).orderBy(
-        F.desc("vendas"), F.asc("canal")
-    )
+    # The window runs over one row per channel.
+    total = counts.withColumn("__total", F.sum("vendas").over(Window.partitionBy()))
+    shared = total.withColumn("percentual", ptbr.ratio_text(F.col("vendas"), F.col("__total")))
+    return shared.drop("__total").orderBy(F.desc("vendas"), F.asc("canal"))
 
 
 def by_payment(sales: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ One key may carry a third of all rows. Nothing here gathers the rows of one key
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -136,15 +136,21 @@ def lookup_join(
     )
 
 
-def mark_repeated(df: DataFrame, key: str, flag: str, hot: DataFrame | None = None) -> DataFrame:
-    """Flag every row whose non-NULL key occurs more than once."""
+def mark_repeated(
+    df: DataFrame, key: str, flag: str, hot: DataFrame | None = None, stage: Callable[[str, DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Flag every row whose non-NULL key occurs more than once. With `stage`, the repeated keys are counted once."""
     repeats = repeated_keys(df.where(F.col(key).isNotNull()), key).select(key, F.lit(True).alias(flag))
+    repeats = stage(f"repeated_{key}", repeats) if stage else repeats
     return lookup_join(df, repeats, key, hot).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def mark_later(df: DataFrame, key: str, flag: str, hot: DataFrame | None = None) -> DataFrame:
-    """Flag every row whose non-NULL key already occurred earlier in source order."""
+def mark_later(
+    df: DataFrame, key: str, flag: str, hot: DataFrame | None = None, stage: Callable[[str, DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Flag every row whose non-NULL key already occurred earlier in source order. With `stage`, firsts are found once."""
     firsts = first_occurrences(df, key)
+    firsts = stage(f"first_{key}", firsts) if stage else firsts
     joined = lookup_join(df, firsts, key, hot)
     later = F.coalesce(order_value() > F.col("first_order"), F.lit(False))
     return joined.withColumn(flag, later).drop("first_order")

@@ -25,6 +25,8 @@ _KNOWN = {
     "lojas": rules.STORE_KNOWN,
     "consultores": rules.CONSULTANT_KNOWN,
 }
+# Look-ups whose attributes the fact carries.
+ATTRIBUTES = frozenset({"vehicle", "store", "consultant"})
 # A stage writes a frame to shared storage and reads it back; the default leaves the plan lazy.
 Stage = Callable[[str, DataFrame], DataFrame]
 
@@ -49,9 +51,11 @@ def prepare_sales(
     hot: DataFrame | None = None,
     stage: Stage = lazy,
     detours: frozenset[str] = frozenset(SALE_KEYS),
+    wide: bool = True,
 ) -> DataFrame:
     """Sales rows with the look-ups that `needs` asks for; `detours` are the keys that have hot values.
 
+    `wide` brings the attributes of the dimensions along, otherwise only what the rules read.
     `dims` are canonical (one row per key). The vehicle look-up brings the repeat mark along in the same
     join when both are asked for, so that the sales rows are shuffled once for it.
     """
@@ -64,10 +68,13 @@ def prepare_sales(
     def known(name: str) -> DataFrame:
         key = DIMENSIONS[name][0]
         mark = F.when(F.col(key).isNotNull(), F.lit(True))
-        return dims[name].withColumn(_KNOWN[name], mark)
+        read = [c for c in dims[name].columns if wide or c in (key, rules.CONSULTANT_STORE)]
+        return dims[name].select(*read).withColumn(_KNOWN[name], mark)
+
+    kind = "attributes" if wide else "marks"
 
     def staged(name: str) -> DataFrame:
-        return stage(f"lookup_{name}", known(name))
+        return stage(f"{kind}_{name}", known(name))
 
     out = sales
     if "later" in needs:
@@ -81,7 +88,7 @@ def prepare_sales(
             "veiculo_id", F.lit(True).alias(rules.VEHICLE_SALES)
         )
         lookup = known("veiculos").join(repeats, "veiculo_id", "full") if "vehicle" in needs else repeats
-        lookup = stage("lookup_veiculos", lookup)
+        lookup = stage(f"{kind}_veiculos_repeated" if "vehicle" in needs else "repeated_veiculos", lookup)
         out = keys.lookup_join(out, lookup, "veiculo_id", hot_of("veiculo_id"))
     elif "vehicle" in needs:
         out = keys.lookup_join(out, staged("veiculos"), "veiculo_id", hot_of("veiculo_id"))
@@ -96,11 +103,17 @@ def prepare_sales(
 
 
 def failing_rows(
-    rule_id: str, sales: DataFrame, dims: dict[str, DataFrame], as_of: Column | None = None
+    rule_id: str,
+    sales: DataFrame,
+    dims: dict[str, DataFrame],
+    as_of: Column | None = None,
+    hot: DataFrame | None = None,
+    stage: Stage = lazy,
+    detours: frozenset[str] = frozenset(SALE_KEYS),
 ) -> DataFrame:
     """Sales rows that fail one rule, joined only to what that rule reads."""
     rule = next(r for r in rules.sales_rules(as_of) if r.rule_id == rule_id)
-    return prepare_sales(sales, dims, set(rule.needs)).where(rules.failing(rule))
+    return prepare_sales(sales, dims, set(rule.needs), hot, stage, detours, wide=False).where(rules.failing(rule))
 
 
 @dataclass(frozen=True)
@@ -111,6 +124,8 @@ class Evaluation:
     dims: dict[str, DataFrame]
     rules: tuple[rules.Rule, ...]
     sale_columns: tuple[str, ...]
+    #: Joins sales to the attributes of all dimensions.
+    look_up: Callable[[DataFrame], DataFrame]
 
     @property
     def sale_output(self) -> list[str]:
@@ -123,7 +138,7 @@ class Evaluation:
             c for name in DIMENSIONS
             for c in canonical_columns(self.dims[name], name)
         ]
-        valid = self.flagged.where(rules.VALID).select(*self.sale_output, *joined)
+        valid = self.look_up(self.flagged.where(rules.VALID).select(*self.sale_output))
         return with_metrics(valid).select(*self.sale_output, *joined, *METRIC_COLUMNS)
 
     @property
@@ -166,10 +181,15 @@ def evaluate(
         if stage is not lazy:
             # At most one row per join column. Columns without hot values take the plain join.
             detours = frozenset(row[0] for row in hot.select("key_name").distinct().collect())
-    # The fact needs all three dimensions, whatever the rules ask for.
-    needs = rules.needs_of(chosen) | {"vehicle", "store", "consultant"}
-    canon = {name: canonical(tables[name], name) for name in DIMENSIONS}
-    prepared = prepare_sales(sales, canon, needs, hot, stage, detours)
-    flagged = stage("flagged", rules.apply_rules(prepared, chosen))
+    canon = {name: stage(f"canon_{name}", canonical(tables[name], name)) for name in DIMENSIONS}
+    # Rules of the user may read any attribute; the catalog reads marks only, and rejected sales never meet attributes.
+    wide = bool(rules.needs_of(extra_rules) & ATTRIBUTES)
+    prepared = prepare_sales(sales, canon, rules.needs_of(chosen), hot, stage, detours, wide)
+    marked = rules.apply_rules(prepared, chosen)
+    flagged = stage("flagged", marked.select(*sales.columns, *[rules.flag_column(r.rule_id) for r in chosen], rules.ISSUES, rules.VALID))
     dims = {name: tables[name] for name in DIMENSIONS}
-    return Evaluation(flagged, dims, chosen, tuple(sales.columns))
+
+    def look_up(valid: DataFrame) -> DataFrame:
+        return prepare_sales(valid, canon, set(ATTRIBUTES), hot, lazy, detours)
+
+    return Evaluation(flagged, dims, chosen, tuple(sales.columns), look_up)

@@ -13,7 +13,7 @@ from ..session import tune
 from ..sinks import exports, publish
 from ..sinks.staging import Staging
 from ..sources.batch import read_batch
-from ..sources.listing import PACKAGE_LIMITS, Limits
+from ..sources.listing import UNLIMITED, Limits
 from .evaluate import Evaluation, evaluate
 from .normalise import normalise_all
 
@@ -83,7 +83,7 @@ def run_batch(
     output: str,
     quarantine: str,
     as_of: Column | None = None,
-    limits: Limits = PACKAGE_LIMITS,
+    limits: Limits = UNLIMITED,
     split_above: int | None = None,
 ) -> Run:
     tune(spark)

@@ -221,6 +221,3 @@ def raw(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def clean(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return normalise(raw(spark, sf, name), name)
 
-
-def clean_all(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {name: clean(spark, sf, name) for name in RAW}

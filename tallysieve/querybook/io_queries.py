@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..operators import explore, keys, marts
 from ..plans import run
+from ..plans.evaluate import evaluate
 from ..sinks import exports, publish
+from ..sinks.staging import Staging
 from ..sources import archives, batch, delimited, listing, published
 from . import adapter, oracle as o
 from .book import query
@@ -257,20 +260,19 @@ def _(w):
     return published.cached_sales(_layer(w)).agg(F.count(F.lit(1)).alias("vendas"), F.sum("valor_venda").cast("decimal(28,2)").alias("receita"))
 
 
-@query("b01_report_csv", 'select "check", severity, cast(failed_rows as varchar) as failed_rows, status from report')
+@query("b01_report_csv", "select cast(columns(*) as varchar) from (select * exclude (position) from report)")
 def _(w):
     layer = _layer(w)
     columns = [c for c in layer.table("quality_report").columns if c != "position"]
     path = f"{w.out}/version={layer.version}/quality_report_csv"
-    return _read_back(w, path, columns, ",").select("check", "severity", "failed_rows", "status")
+    return _read_back(w, path, columns, ",")
 
 
-@query("b02_quarantine_csv", "select __source_file, cast(__source_line as varchar) as __source_line, venda_id, quality_issues from rejected")
+@query("b02_quarantine_csv", "select nullif(cast(columns(*) as varchar), '') from (select * replace (strftime(data_venda, '%Y-%m-%d') as data_venda) from rejected)")
 def _(w):
     layer = _layer(w)
     path = f"{w.quarantine}/version={layer.version}/rejected_sales_csv"
-    rows = _read_back(w, path, layer.table("rejected_sales").columns, ",")
-    return rows.select("__source_file", "__source_line", "venda_id", "quality_issues")
+    return _read_back(w, path, layer.table("rejected_sales").columns, ",")
 
 
 _COUNTED = {
@@ -312,25 +314,31 @@ def _(w):
     return w.spark.range(1).select(valid.alias("validas"), rejected.alias("rejeitadas"))
 
 
-@query("b07_fact_export", "select venda_id, cast(valor_venda as varchar) as valor_venda, quality_issues, cast(__source_line as varchar) as __source_line from fact")
+_MOMENTS = ", ".join(f"cast({c} as timestamp) as {c}" for c in ("data_venda", "data_admissao"))
+
+
+@query("b07_fact_export", f"select cast(columns(*) as varchar) from (select * replace ({_MOMENTS}) from fact)")
 def _(w):
     path = exports.export_fact(w.spark, (_layer(w), w.out)[1], f"{w.stage.folder}/fact_csv")
-    rows = _read_back(w, path, _layer(w).table("fact_vendas").columns).fillna({"quality_issues": ""})
-    return rows.select("venda_id", "valor_venda", "quality_issues", "__source_line")
+    return _read_back(w, path, _layer(w).table("fact_vendas").columns).fillna({"quality_issues": ""})
 
 
-@query("b08_board_export", f"select regra, status, cast(registros_afetados as varchar) as registros_afetados from ({_BOARD}) where severidade = 'Aviso'")
+@query("b08_board_export", f"select cast(columns(*) as varchar) from (select * from ({_BOARD}) where severidade = 'Aviso')")
 def _(w):
     board = explore.filter_board(explore.quality_board(w.report), severity="Aviso")
     path = exports.write_board(board, f"{w.stage.folder}/board_csv")
-    return _read_back(w, path, board.columns).select("regra", "status", "registros_afetados")
+    return _read_back(w, path, board.columns)
 
 
-@query("b09_investigation_export", "select venda_id, marca, cast(valor_venda as varchar) as valor_venda, cast(__source_line as varchar) as __source_line from sales where uf = 'NATION_3' and trim(quality_issues) <> ''")
+@query(
+    "b09_investigation_export",
+    f"select cast(columns(*) as varchar) from (select {', '.join(fv.EXPORTED_COLUMNS)} from sales where uf = 'NATION_3' and trim(quality_issues) <> '')",
+)
 def _(w):
-    picked = explore.apply_selection(w.sales, explore.Selection(uf=("NATION_3",)))
+    """From the published layer, where days are timestamps."""
+    picked = explore.apply_selection(_layer(w).sales, explore.Selection(uf=("NATION_3",)))
     path = exports.write_investigation(explore.investigate(picked, alerts=True), f"{w.stage.folder}/investigation_csv")
-    return _read_back(w, path, list(fv.EXPORTED_COLUMNS)).select("venda_id", "marca", "valor_venda", "__source_line")
+    return _read_back(w, path, list(fv.EXPORTED_COLUMNS))
 
 
 @query("b10_run_summary", "select (select count(*) from raw_vendas) as recebidos, (select count(*) from fact) as validos, (select count(*) from rejected) as rejeitados")
@@ -340,25 +348,33 @@ def _(w):
     return run.summarise(w.spark, w.out, layer.version, files).select("recebidos", "validos", "rejeitados")
 
 
-def _source_fact_totals(w) -> tuple[DataFrame, DataFrame]:
-    """A full run from delimited files; provenance differs from the tables, so totals are compared."""
-    out = f"{w.stage.folder}/full"
-    done = run.run_batch(w.spark, _folder(w), out, f"{out}-quarantine", as_of(), NO_LIMITS)
-    layer = published.Layer(w.spark, out, done.version)
-    return layer.table("fact_vendas"), layer.table("mart_vendas_mensal")
+_RUN_COUNTS = "select 'recebidos', count(*) from raw_vendas union all select 'avaliados', count(*) from vendas union all select 'confere', 1"
 
 
-@query("l01_full_run", "select (select count(*) from raw_vendas) as recebidos, (select count(distinct venda_id) from vendas) as vendas_distintas, true as confere")
+@query("l01_full_run", f'select "check" as medida, failed_rows as valor from report union all {_RUN_COUNTS}')
 def _(w):
-    fact, mart = _source_fact_totals(w)
-    agree = marts.reconcile(fact, mart).agg(F.bool_and("confere").alias("ok")).scalar()
-    received = _batch(w).table("vendas").agg(F.count(F.lit(1)).alias("n")).scalar()
-    ids = w.clean("vendas").agg(F.countDistinct("venda_id").alias("n")).scalar()
-    return w.spark.range(1).select(received.alias("recebidos"), ids.alias("vendas_distintas"), agree.alias("confere"))
+    """A full run from delimited files: every rule count of its own report, and what became of all sales.
+
+    File names differ from those of the tables, so which row of a duplicate is first may, but no count does.
+    """
+    out = f"{w.stage.folder}/full"
+    done = run.run_batch(w.spark, _folder(w), out, f"{out}-quarantine", as_of(), NO_LIMITS)
+    layer = published.Layer(w.spark, out, done.version)
+    fact, mart = layer.table("fact_vendas"), layer.table("mart_vendas_mensal")
+    judged = fact.select("venda_id").unionAll(layer.table("rejected_sales").select("venda_id"))
+    counted = [
+        layer.table("raw_vendas").agg(F.lit("recebidos").alias("medida"), F.count(F.lit(1)).alias("valor")),
+        judged.agg(F.lit("avaliados").alias("medida"), F.count(F.lit(1)).alias("valor")),
+        marts.reconcile(fact, mart).agg(F.lit("confere").alias("medida"), F.bool_and("confere").cast("bigint").alias("valor")),
+    ]
+    return reduce(DataFrame.unionAll, counted, layer.table("quality_report").select(F.col("check").alias("medida"), F.col("failed_rows").alias("valor")))
 
 
-@query("l03_rerun", _RECONCILED)
+@query("l03_rerun", f"select *, 0 as a_menos, 0 as a_mais from ({_RECONCILED})")
 def _(w):
-    """A second evaluation of the same input gives the totals of the published one."""
-    again = w.evaluation().fact
-    return marts.reconcile(again, _layer(w).table("mart_vendas_mensal"))
+    """A second build of the same clean tables into a stage of its own: the same fact, and totals that match the published mart."""
+    again = Staging(w.spark)
+    fact = again("fact", evaluate(w.tables(), as_of(), stage=again).fact)
+    missing, added = (a.exceptAll(b).agg(F.count(F.lit(1)).cast("int").alias("n")).scalar() for a, b in ((w.fact, fact), (fact, w.fact)))
+    totals = marts.reconcile(fact, _layer(w).table("mart_vendas_mensal"))
+    return totals.withColumns({"a_menos": missing, "a_mais": added})

@@ -9,7 +9,7 @@ from ..functions import dates, numbers, ptbr, text
 from ..operators import explore, metrics, rules
 from ..plans.evaluate import canonical
 from ..plans.normalise import CLEANERS
-from . import oracle as o
+from . import adapter, oracle as o
 from .book import query
 from .world import as_of
 
@@ -72,6 +72,30 @@ def _(w):
     return w.raw("vendas").select(*ROW, *[numbers.parse_money(F.col(c)).alias(c) for c in cols])
 
 
+_CENTS = "cast(round(l_extendedprice * 100) as bigint)"
+_LONG_AMOUNTS = {  # amounts that plain decimals cannot be read from, made from the line prices: text, value
+    0: (f"concat({_CENTS}, repeat('0', 20), 'e-22')", f"cast({_CENTS} as decimal(18,2)) / 100"),
+    1: (f"concat({_CENTS}, '.', repeat('0', 30), 'E-002')", f"cast({_CENTS} as decimal(18,2)) / 100"),
+    2: (f"concat('-', repeat('0', 45), 'e', {_CENTS})", "0"),
+    3: (f"concat(l_quantity, ',', repeat('0', 70), '.0')", "l_quantity"),
+    4: (f"concat({_CENTS}, 'e-10')", "null"),
+    5: (
+        f"concat('0.', repeat('0', 60), {_CENTS}, 'e', 58 + length(cast({_CENTS} as varchar(20))))",
+        f"cast({_CENTS} as decimal(18,2)) / 100",
+    ),
+}
+
+
+def _long_amount(part: int) -> str:
+    return "case (l_orderkey + l_linenumber) % 6 " + " ".join(f"when {k} then {v[part]}" for k, v in _LONG_AMOUNTS.items()) + " end"
+
+
+@query("c06_long_amounts", f"select l_orderkey, l_linenumber, cast({_long_amount(1)} as decimal(18,2)) as amount from lineitem")
+def _(w):
+    text_of = F.expr(_long_amount(0).replace("concat(l_quantity", "concat(cast(l_quantity as int)"))
+    return adapter.table(w.spark, w.sf, "lineitem").select("l_orderkey", "l_linenumber", numbers.parse_money(text_of).alias("amount"))
+
+
 for _name in CLEANERS:
 
     @query(f"c07_normalise_{_name}", f"select * from {_name}")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..operators import explore, keys, marts, metrics, rules
-from ..plans.evaluate import canonical, failing_rows, prepare_sales
 from . import adapter, oracle as o
 from .book import query
 from .scalar_queries import _BOARD, AT, ROW, _pt
@@ -28,7 +27,7 @@ for _i, _rule in enumerate(o.SALES_RULES, 4):
 
     @query(f"r{_i:02d}_{_rule}", f"select {AT} from prepared where {o.rule_sql(_rule)}")
     def _(w, _rule=_rule):
-        return failing_rows(_rule, w.clean("vendas"), w.canon(), as_of()).select(*ROW)
+        return w.failing(_rule).select(*ROW)
 
 
 # --- predicates --------------------------------------------------------------------------------------
@@ -106,7 +105,7 @@ def _(w):
 # --- joins -------------------------------------------------------------------------------------------
 def _joined(need: str) -> "object":
     def make(w):
-        out = prepare_sales(w.clean("vendas"), w.canon(), {need})
+        out = w.looked_up({need})
         return out.drop(rules.VEHICLE_KNOWN, rules.STORE_KNOWN, rules.CONSULTANT_KNOWN)
 
     return make
@@ -131,14 +130,14 @@ _ORPHANS = [r for r in o.SALES_RULES if r.startswith("orphan_")]
 @query("e04_key_membership", f"select {AT}, " + ", ".join(f"coalesce({o.rule_sql(r)}, false) as {r}" for r in _ORPHANS) + " from prepared")
 def _(w):
     chosen = [r for r in rules.sales_rules(as_of()) if r.rule_id in _ORPHANS]
-    prepared = prepare_sales(w.clean("vendas"), w.canon(), rules.needs_of(chosen))
+    prepared = w.looked_up(set(rules.needs_of(chosen)), wide=False)
     return prepared.select(*ROW, *[rules.failing(r).alias(r.rule_id) for r in chosen])
 
 
-@query("e05_consultant_store", f"select {AT}, consultor_id, expected_store as loja_esperada from prepared where consultor_id is not null")
+@query("e05_consultant_store", f"select {AT}, v.consultor_id, d.consultor_loja_id as loja_esperada from vendas v left join canon_consultores d on v.consultor_id is not distinct from d.consultor_id")
 def _(w):
-    out = prepare_sales(w.clean("vendas"), w.canon(), {"consultant"})
-    return out.where("consultor_id is not null").select(*ROW, "consultor_id", F.col(rules.CONSULTANT_STORE).alias("loja_esperada"))
+    out = w.looked_up({"consultant"}, wide=False)
+    return out.select(*ROW, "consultor_id", F.col(rules.CONSULTANT_STORE).alias("loja_esperada"))
 
 
 @query("e06_many_to_one_guard", "select 'veiculo_id' as key, count(*) as rows from canon_veiculos union all select 'loja_id', count(*) from canon_lojas union all select 'consultor_id', count(*) from canon_consultores")
@@ -257,15 +256,13 @@ def _(w):
 @query("g01_mark_repeated", f"select {AT}, coalesce(veiculo_id is not null and vehicle_sales > 1, false) as repetido from prepared")
 def _(w):
     sales = w.clean("vendas")
-    hot = keys.hot_keys(sales, ["veiculo_id"]).select(F.col("key").alias("hot_key"))
-    return keys.mark_repeated(sales, "veiculo_id", "repetido", hot).select(*ROW, "repetido")
+    return keys.mark_repeated(sales, "veiculo_id", "repetido", w.hot_of("veiculo_id"), w.once).select(*ROW, "repetido")
 
 
 @query("g02_mark_later", f"select {AT}, coalesce(venda_id is not null and occurrence > 1, false) as posterior from prepared")
 def _(w):
     sales = w.clean("vendas")
-    hot = keys.hot_keys(sales, ["venda_id"]).select(F.col("key").alias("hot_key"))
-    return keys.mark_later(sales, "venda_id", "posterior", hot).select(*ROW, "posterior")
+    return keys.mark_later(sales, "venda_id", "posterior", w.hot_of("venda_id"), w.once).select(*ROW, "posterior")
 
 
 @query("g03_first_per_key", "select * exclude (rn) from (select *, row_number() over (partition by consultor_id order by lower(__source_file), __source_file, __source_line) as rn from consultores) where rn = 1")

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import explore, marts
-from ..plans.evaluate import DIMENSIONS, Evaluation, canonical, evaluate
+from ..operators import explore, keys, marts
+from ..plans.evaluate import DIMENSIONS, SALE_KEYS, Evaluation, canonical, evaluate, failing_rows, prepare_sales
 from ..session import tune
 from ..sinks.staging import Staging
 from . import adapter
@@ -28,6 +28,7 @@ class World:
         self.stage = Staging(spark)
         self._kept: dict[str, DataFrame] = {}
         self._evaluation: Evaluation | None = None
+        self._detours: frozenset[str] | None = None
 
     def _once(self, name: str, make) -> DataFrame:
         if name not in self._kept:
@@ -43,12 +44,35 @@ class World:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.clean(name) for name in adapter.RAW}
 
+    def once(self, name: str, df: DataFrame) -> DataFrame:
+        """A stage that writes each name once and gives the written table from then on."""
+        return self._once(name, lambda: df)
+
     def canon(self) -> dict[str, DataFrame]:
-        return {name: canonical(self.clean(name), name) for name in DIMENSIONS}
+        return {name: self.once(f"canon_{name}", canonical(self.clean(name), name)) for name in DIMENSIONS}
+
+    def hot(self) -> DataFrame:
+        return self.once("hot_keys", keys.hot_keys(self.clean("vendas"), SALE_KEYS))
+
+    def hot_of(self, key: str) -> DataFrame:
+        return self.hot().where(F.col("key_name") == key).select(F.col("key").alias("hot_key"))
+
+    def detours(self) -> frozenset[str]:
+        """Join columns with hot values, at most one row each."""
+        if self._detours is None:
+            self._detours = frozenset(row[0] for row in self.hot().select("key_name").distinct().collect())
+        return self._detours
+
+    def looked_up(self, needs: set[str], wide: bool = True) -> DataFrame:
+        """Clean sales with look-ups, hot keys past the shuffle as in the full run."""
+        return prepare_sales(self.clean("vendas"), self.canon(), needs, self.hot(), self.once, self.detours(), wide)
+
+    def failing(self, rule_id: str) -> DataFrame:
+        return failing_rows(rule_id, self.clean("vendas"), self.canon(), as_of(), self.hot(), self.once, self.detours())
 
     def evaluation(self) -> Evaluation:
         if self._evaluation is None:
-            self._evaluation = evaluate(self.tables(), as_of(), stage=self.stage)
+            self._evaluation = evaluate(self.tables(), as_of(), stage=self.once)
         return self._evaluation
 
     @property

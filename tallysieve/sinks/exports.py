@@ -9,11 +9,15 @@ from ..operators import explore
 from . import publish
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ";") -> str:
-    """Text as it is: header, no byte order mark, NULL as nothing, blanks kept."""
+# Text of a published day: at midnight in the export of the fact, as a plain date elsewhere.
+MOMENT, DAY = "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"
+
+
+def write_delimited(df: DataFrame, path: str, sep: str = ";", moment: str = DAY) -> str:
+    """Text as it is: header, no byte order mark, NULL as nothing, blanks kept; `moment` is the form of timestamps."""
     (
         df.write.mode("overwrite")
-        .option("sep", sep).option("header", True).option("emptyValue", "").option("nullValue", "")
+        .option("timestampNTZFormat", moment).option("dateFormat", DAY).option("sep", sep).option("header", True).option("emptyValue", "").option("nullValue", "")
         .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
@@ -44,4 +48,4 @@ def export_fact(spark: SparkSession, root: str, path: str) -> str:
         fact = publish.read_table(spark, root, "fact_vendas")
     except AnalysisException as error:
         raise FileNotFoundError(f"nothing published at {root}") from error
-    return write_delimited(fact, path)
+    return write_delimited(fact, path, moment=MOMENT)

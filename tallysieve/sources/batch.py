@@ -20,10 +20,14 @@ SHOWN_PROBLEMS = 20
 
 
 def _refuse(problems: DataFrame, error: type[IngestionError]) -> None:
-    """Raise with the first problems found; the rest stays in the table."""
-    found = problems.limit(SHOWN_PROBLEMS).collect()
-    if found:
-        raise error("; ".join(": ".join(str(x) for x in row if x not in (None, "")) for row in found))
+    """Raise with the first problems found and how many there are in all."""
+    found = problems.limit(SHOWN_PROBLEMS + 1).collect()
+    if not found:
+        return
+    text = "; ".join(": ".join(str(x) for x in row if x not in (None, "")) for row in found[:SHOWN_PROBLEMS])
+    if len(found) > SHOWN_PROBLEMS:
+        text += f"; {problems.count()} problems in all, {SHOWN_PROBLEMS} shown"
+    raise error(text)
 
 
 def combine(frames: Sequence[DataFrame], contract: str) -> DataFrame:
@@ -66,7 +70,7 @@ class Batch:
 def read_batch(
     spark: SparkSession,
     path: str,
-    limits: listing.Limits = listing.PACKAGE_LIMITS,
+    limits: listing.Limits = listing.UNLIMITED,
     stage: Stage | None = None,
     split_above: int | None = None,
 ) -> Batch:

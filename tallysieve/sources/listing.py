@@ -90,7 +90,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def listing_problems(listing: DataFrame, limits: Limits = PACKAGE_LIMITS) -> DataFrame:
+def listing_problems(listing: DataFrame, limits: Limits = UNLIMITED) -> DataFrame:
     """(source_file, problem): unexpected files, empty or oversized ones, and broken totals."""
     name, size = F.col("source_file"), F.col("length")
     per_file = listing.where(~F.col("skipped")).select(

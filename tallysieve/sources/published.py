@@ -35,7 +35,7 @@ class Layer:
         return explore.volumes(self.table("raw_vendas"), self.table("fact_vendas"), self.table("rejected_sales"))
 
 
-_CACHED: dict[tuple[str, str], DataFrame] = {}
+_CACHED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def open_layer(spark: SparkSession, root: str) -> Layer:
@@ -43,10 +43,13 @@ def open_layer(spark: SparkSession, root: str) -> Layer:
 
 
 def cached_sales(layer: Layer) -> DataFrame:
-    """The explored sales, cached per version: a new version is a new key and the old one is dropped."""
-    key = (layer.root, layer.version)
+    """The explored sales, cached per session and version: a new version takes the place of the old one."""
+    session = layer.spark.sparkContext.applicationId
+    key = (session, layer.root, layer.version)
     if key not in _CACHED:
-        for old in [k for k in _CACHED if k[0] == layer.root]:
-            _CACHED.pop(old).unpersist()
+        for old in [k for k in _CACHED if k[0] != session or k[1] == layer.root]:
+            gone = _CACHED.pop(old)
+            if old[0] == session:
+                gone.unpersist()
         _CACHED[key] = layer.sales.cache()
     return _CACHED[key]

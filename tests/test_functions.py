@@ -47,6 +47,17 @@ def test_money_is_exact_or_null(spark):
     assert got == [None if v is None else Decimal(v) for v in MONEY.values()]
 
 
+def test_money_of_any_length(spark):
+    values = {
+        "10000000000000000000e-5": "100000000000000.00", "1e003": "1000.00", "1.50000000000000000000e0": "1.50",
+        "0" * 45 + "e1": "0.00", "1," + "0" * 70 + ".0": "1.00", "12e-10": None, "1.0000000000000000000001e0": None,
+        "1e": None, "e5": None, ".e5": None, "5e-02": "0.05", "-.5E+1": "-5.00", "0e99999999999999": "0.00", "1e99999999999999": None,
+        "1e16": None, "1e15": "1000000000000000.00",
+    }
+    got = column(spark, list(values), numbers.parse_money)
+    assert got == [None if v is None else Decimal(v) for v in values.values()]
+
+
 def test_numbers(spark):
     values = ["1e3", "1.", "-.5", "+3", "1_000", "0x10", "1d", "5f", "12.345,6", "nan", "inf"]
     expected = [1000.0, 1.0, -0.5, 3.0, None, None, None, None, 12345.6, None, float("inf")]

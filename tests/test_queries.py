@@ -8,7 +8,7 @@ from compare import compare, oracle_connection
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = (
-    "c06_parse_money", "c07_normalise_veiculos", "c12_issue_list", "d02_quarantine", "e03_join_consultant",
+    "c06_parse_money", "c06_long_amounts", "b02_quarantine_csv", "c07_normalise_veiculos", "c12_issue_list", "d02_quarantine", "e03_join_consultant",
     "f01_monthly_mart", "f13_quality_report", "g02_mark_later", "r20_veiculo_multiple_sales", "a05_expand_archive",
 )
 
@@ -28,7 +28,7 @@ def test_query_matches_oracle(spark, oracle, name):
 
 
 def test_every_query_has_an_oracle():
-    from __spark_entry__ import oracle_sql, queries
+    from tallysieve.querybook import all_oracles, all_queries
 
-    assert set(queries()) == set(oracle_sql())
-    assert len(queries()) > 100
+    assert set(all_queries()) == set(all_oracles())
+    assert len(all_queries()) > 100
