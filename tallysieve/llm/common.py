@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,5 +47,27 @@ def hash_order(*columns: Column) -> Column:
     return F.xxhash64(*columns, F.lit("fitting sample"))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Runs within the block send so many rows to Python at once; rows that carry two texts each are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Stage(Staging):
-    """Staged tables of one operator call, in the cluster's shared folder."""
+    """Staged tables of one operator call, in the cluster's shared folder.
+
+    What was shuffled to make a table is not needed once it is written; Spark drops those files when the driver's
+    garbage is collected, which is asked for before the next table is made, so that shuffles of all steps do not pile
+    up on the executors.
+    """
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+        return super().__call__(name, df)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Stage, texts, words_of
+from .common import Stage, batches_of, texts, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: At similarity 0.8 a pair shares none of the bands with probability 6e-7.
@@ -35,6 +35,8 @@ REGISTERS = BANDS * REGISTERS_PER_BAND
 #: Leaders that a bucket compares in the second round, and how many times more in each later one.
 LEADERS, GROWTH = 16, 4
 PORTION = 2_000_000
+#: Rows sent to Python at once; pairs carry two whole texts.
+BATCH_ROWS = 1000
 
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -190,7 +192,15 @@ def renamed(rows: DataFrame, merged: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class) and kept (one document of each class), a row per row of `docs`."""
-    stage = Stage(docs.sparkSession)
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        rows, owners = merged_classes(docs, Stage(docs.sparkSession), threshold)
+    found = rows.select("doc_id", "key").join(owners, "key").groupBy("doc_id").agg(F.min("class").alias("class_id"))
+    out = texts(docs).select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+
+
+def merged_classes(docs: DataFrame, stage: Stage, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, bands) of all documents with words, and (key, class); both written."""
     rows = stage("sketch", sketch(docs))
     # Partial aggregation keeps one row per word sequence and task, however many copies there are.
     first = stage("first", rows.groupBy("key").agg(F.min(F.struct("doc_id", "bands")).alias("r")).select("key", "r.doc_id", "r.bands"))
@@ -225,9 +235,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     owners = first.select("key", F.col("doc_id").alias("class"))
     for merged in merges:
         owners = renamed(owners, merged)
-    found = rows.select("doc_id", "key").join(owners, "key").groupBy("doc_id").agg(F.min("class").alias("class_id"))
-    out = texts(docs).select("doc_id").join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    return rows, owners
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

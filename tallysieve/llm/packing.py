@@ -31,7 +31,7 @@ END_ID = 2
 SHARD_PIECES = 20_000
 #: Words and stripped words whose ids a Python worker remembers, about 200 bytes each; beyond it only those of the texts
 #: at hand are kept.
-MEMORY_WORDS, MEMORY_CORES = 700_000, 1_000_000
+MEMORY_WORDS, MEMORY_CORES = 450_000, 700_000
 #: Stripped from the ends of words before they are encoded; no apostrophe, which the tokenizer treats with what follows.
 PUNCTUATION = b".,!?;:#$%&*|()"
 PIECES = (
