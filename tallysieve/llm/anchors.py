@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import Stage
 from .neardup import STEP, mix
 
-#: Runs of one anchor, above which its windows are dealt out one by one.
+#: Runs of one anchor, above which its windows are dealt out one by one; the result is the same.
 HOT_RUNS = 2000
 #: Stands for NULL ids, before all others.
 NO_ID = -(2**63)
@@ -124,16 +124,20 @@ def survey(docs: DataFrame, shape: Shape, whole: Callable[[bytes, np.ndarray], s
     return keyed(docs).mapInPandas(run, schema)
 
 
-def recurring(rows: DataFrame, docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
-    """d, key, text and runs (start, count, anchor, hot) of the first document of each text that has recurring anchors."""
+def recurring(rows: DataFrame, docs: DataFrame, stage: Stage, hot_runs: int = HOT_RUNS) -> DataFrame:
+    """d, key, text and runs (start, count, anchor, hot) of the first document of each text that has recurring anchors.
+
+    The lists of runs are written before any text is shuffled, so that the shuffles of anchors and of texts do not add up.
+    """
     first = rows.groupBy("key").agg(F.min(F.struct("d", "anchors", "starts", "counts", "times")).alias("r"))
     parts = zip(("anchors", "starts", "counts", "times"), ("anchor", "start", "count", "times"))
     zipped = F.explode(F.arrays_zip(*[F.col(f"r.{many}").alias(one) for many, one in parts]))
     runs = first.select("key", F.col("r.d").alias("d"), zipped.alias("run")).select("key", "d", "run.*")
     often = runs.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1")
     kept = runs.join(often, "anchor").select("key", "d", F.struct("start", "count", "anchor", (F.col("n") > hot_runs).alias("hot")).alias("run"))
-    lists = kept.groupBy("key", "d").agg(F.collect_list("run").alias("runs"))
-    return keyed(docs).select("key", "d", "text").join(lists, ["key", "d"]).dropDuplicates(["key", "d"])
+    lists = stage("runs", kept.groupBy("key", "d").agg(F.collect_list("run").alias("runs")))
+    del first, zipped, runs, often, kept
+    return stage("found", keyed(docs).select("key", "d", "text").join(lists, ["key", "d"]).dropDuplicates(["key", "d"]))
 
 
 def pieces(found: DataFrame, shape: Shape) -> DataFrame:

@@ -23,6 +23,8 @@ from . import anchors
 from .common import sha256_hex
 
 WINDOW, SHORT = 20, 4
+#: Runs of an anchor that one task still takes whole: some 200 MB of windows at most.
+HOT_RUNS = 50_000
 #: Bytes of text in a shard's automaton: its patterns stay below some 10 MB.
 SHARD_BYTES = 200_000
 
@@ -87,11 +89,11 @@ def trim(body: bytes, spans: list) -> tuple[int, int, str]:
     return int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype("int8")])) == 1).sum()), sha256_hex(b" ".join(kept))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, hot_runs: int = anchors.HOT_RUNS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, hot_runs: int = HOT_RUNS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every row."""
     stage, shape = anchors.stage_of(docs), shape_of(window)
     rows = stage("survey", anchors.survey(docs, shape, lambda body, codes: sha256_hex(b" ".join(body.split()))))
-    found = stage("found", anchors.recurring(rows, docs, hot_runs))
+    found = anchors.recurring(rows, docs, stage, hot_runs)
     spans = anchors.solved(anchors.pieces(found, shape), lambda block: later_occurrences(block, window), shard_bytes)
     windows = anchors.hot_windows(found, shape)
     firsts = windows.groupBy("f", "g").agg(F.min(F.struct("d", "key", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")

@@ -150,7 +150,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, hot_runs: int = anchor
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
     stage, shape = anchors.stage_of(docs), shape_of(window)
     rows = stage("survey", anchors.survey(docs, shape, lambda body, codes: sha256_hex(body)))
-    found = stage("found", anchors.recurring(rows, docs, hot_runs))
+    found = anchors.recurring(rows, docs, stage, hot_runs)
     spans = anchors.solved(anchors.pieces(found, shape), lambda block: repeated_windows(block, window), shard_bytes)
     windows = anchors.hot_windows(found, shape)
     often = windows.groupBy("f", "g").agg(F.count("*").alias("n")).where("n > 1").select("f", "g")
