@@ -1,11 +1,14 @@
 """Benchmark decontamination by canonical templates.
 
-Words are stripped of punctuation and lower-cased; numbers, units and names become typed placeholders. Windows of a
-document's canonical words are looked up in the hash table of the benchmark's windows. Windows found on one diagonal
-(the same shift between document and item) must agree on their slots: each value of the item stands for one value of
-the document and the other way round. A document contains an item if the agreeing windows cover enough of its words.
-
-Windows need some plain words, so that placeholders alone never match. Items shorter than a window are one window.
+Words are stripped of punctuation and lower-cased, and words of punctuation alone are dropped; numbers,
+units and names become typed placeholders. A capitalised word may be a name or not: windows are looked up with all of
+them as names, with none, and with those inside sentences. Windows of a document's canonical words are looked up in the
+hash table of the benchmark's windows. What is found names diagonals (the same shift between document and item), whose
+windows are then compared word by word and must agree on their slots: each value of the item stands for one value of the
+document and the other way round. A document contains an item if the agreeing windows cover enough of its words.
+
+Windows with changed slots need some plain words, so that placeholders alone never match; windows with fewer count if
+they are verbatim. Items shorter than a window are one window.
 NULL and empty texts contain nothing; NULL and empty items are contained nowhere. Repeated documents are judged row by
 row, repeated items each give a hit. An empty benchmark or table gives no hits; extra columns are ignored.
 """
@@ -15,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -40,6 +44,7 @@ UNITS = frozenset(
 NUMBER = re.compile(r"[-+~€$£]?\d[\d,.:/]*(?:st|nd|rd|th|%|°|[a-z]{1,3})?")
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~“”‘’«»…–—¿¡"
 NUM, UNIT, NAME = "<number>", "<unit>", "<name>"
+NUMBER_WORDS: dict[str, str] = {}
 HITS = "array<struct<item_id:bigint,n_windows:int,n_words:int,n_slots:int,n_changed:int>>"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,20 +53,45 @@ def bare(word: str) -> str:
     return word.strip(EDGES)
 
 
-def canonical(word: str) -> tuple[str, bool, bool]:
-    """Canonical form in lower case, whether the word may be a name, and whether it ends a sentence."""
+def canonical(word: str) -> tuple[str, str | None, bool, bool]:
+    """Literal form in lower case with numbers in digits (empty: punctuation alone), its placeholder if it is a number
+    or unit, whether it may be a name, and whether it ends a sentence."""
     core = word if word.isalpha() else bare(word)
     ends = len(core) < len(word) and word.rstrip("\"'”’)»")[-1:] in tuple(".!?:")
     low = core.lower()
+    if low in NUMBER_WORDS:
+        return NUMBER_WORDS[low], NUM, False, ends
     if not core.isalpha() and NUMBER.fullmatch(low):
-        return NUM, False, ends
+        return low, NUM, False, ends
     if low in UNITS:
-        return UNIT, False, ends
-    return low, len(core) > 1 and core[0].isupper() and core[1:].islower(), ends
+        return low, UNIT, False, ends
+    return low, None, len(core) > 1 and core[0].isupper() and core[1:].islower(), ends
+
+
+def literal(word: bytes) -> str:
+    return canonical(word.decode("utf-8", "replace"))[0]
+
+
+@dataclass
+class Codes:
+    """Codes of the words that are not punctuation alone, and where these words are."""
+
+    at: np.ndarray
+    literal: np.ndarray
+    #: Numbers and units as placeholders; capitalised words as names nowhere, within sentences, everywhere.
+    unnamed: np.ndarray
+    inside: np.ndarray
+    named: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.at)
+
+    def readings(self) -> list[np.ndarray]:
+        return [self.named, self.inside, self.unnamed]
 
 
 class Coder(dict):
-    """Word -> code of its canonical form (0: not in the vocabulary), times 4, plus name and sentence-end marks."""
+    """Word -> code of its literal form (0: not in the vocabulary), times 32, plus its kind and marks."""
 
     def __init__(self, vocabulary: dict[str, int], grow: bool = False) -> None:
         super().__init__()
@@ -70,21 +100,25 @@ class Coder(dict):
             vocabulary.setdefault(form, len(vocabulary) + 1)
 
     def __missing__(self, word: bytes) -> int:
-        form, name, ends = canonical(word.decode("utf-8", "replace"))
+        form, slot, name, ends = canonical(word.decode("utf-8", "replace"))
         if self.grow and form:
             self.vocabulary.setdefault(form, len(self.vocabulary) + 1)
-        code = self.vocabulary.get(form, 0) * 4 + 2 * name + ends
+        code = self.vocabulary.get(form, 0) * 32 + 16 * (slot == UNIT) + 8 * (slot == NUM) + 4 * (form != "") + 2 * name + ends
         if len(self) >= MEMORY_WORDS:
             self.clear()
         self[word] = code
         return code
 
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        """Canonical codes; capitalised words within a sentence are names."""
+    def codes(self, words: list[bytes]) -> Codes:
         raw = np.fromiter(map(self.__getitem__, words), "int64", len(words))
         begins = np.ones(len(raw), bool)
         begins[1:] = raw[:-1] & 1
-        return np.where((raw & 2 > 0) & ~begins, self.vocabulary[NAME], raw >> 2)
+        at = np.flatnonzero(raw & 4)
+        raw, begins = raw[at], begins[at]
+        plain = np.where(raw & 8, self.vocabulary[NUM], np.where(raw & 16, self.vocabulary[UNIT], raw >> 5))
+        name = raw & 2 > 0
+        named = np.where(name, self.vocabulary[NAME], plain)
+        return Codes(at, raw >> 5, plain, np.where(begins, plain, named), named)
 
 
 def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
@@ -101,6 +135,8 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 VALUE = np.zeros(256, "uint64")
 for _k, _byte in enumerate(b"abcdefghijklmnopqrstuvwxyz0123456789", 1):
     VALUE[_byte] = VALUE[bytes([_byte]).upper()[0]] = (_k * 0xBF58476D1CE4E5B9 + 0x94D049BB133111EB) % 2**64
+SOLID = np.arange(256) >= 128  # letters, digits and bytes beyond ASCII
+SOLID[VALUE > 0] = True
 OPENS_SLOT = np.ones(256, bool)  # anything but a lower-case ASCII letter
 OPENS_SLOT[97:123] = False
 BASE, INVERSE = 0x100000001B3, pow(0x100000001B3, -1, 2**64)
@@ -125,101 +161,155 @@ def word_hashes(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return begin, end, (sums[before[end]] - sums[before[begin]]) * powers(INVERSE, len(sums))[before[begin]]
 
 
+def counts(flags: np.ndarray, size: int) -> np.ndarray:
+    """How many of each window's flags are set."""
+    sums = np.concatenate([[0], np.cumsum(flags)])
+    return sums[size:] - sums[:-size]
+
+
 class Index:
-    """Hash table of the benchmark's windows: sorted hashes and the (item, position) of each."""
+    """Hash tables of the benchmark's windows: sorted hashes with the item and position of each."""
 
     def __init__(self, items: list[tuple[int, str | None]], window: int = WINDOW, plain: int = PLAIN, covered: int = COVERED) -> None:
         self.window, self.plain, self.covered = window, plain, covered
         self.vocabulary: dict[str, int] = {}
         coder = Coder(self.vocabulary, grow=True)
-        self.slots = frozenset(self.vocabulary[x] for x in (NUM, UNIT, NAME))
+        self.slots = np.array([self.vocabulary[x] for x in (NUM, UNIT, NAME)])
         self.items = []
         found = defaultdict(list)
         for item_id, text in items:
             words = words_of(text)
             codes = coder.codes(words)
             number = len(self.items)
-            self.items.append((item_id, words, codes))
-            size = min(window, len(words))
+            self.items.append((item_id, [literal(words[k]) for k in codes.at], codes))
+            size = min(window, len(codes))
             if not size:
                 continue
-            for at, value in enumerate(window_hashes(codes, size)):
-                part = codes[at : at + size]
-                if self.plain_words(part) >= min(plain, size) and (part > 0).all():
-                    found[size].append((int(value), number, at))
+            for reading in self.variants(codes, size):
+                hashes, enough, at = reading
+                found[size, False].append((hashes[enough], np.full(enough.sum(), number), at[enough]))
+            # What lacks plain words in any reading is found verbatim only.
+            few = np.flatnonzero(counts(~self.is_slot(codes.unnamed), size) < min(plain, size))
+            found[size, True].append((window_hashes(codes.literal, size)[few], np.full(len(few), number), few))
         self.tables = {}
-        for size, rows in found.items():
-            rows.sort()
-            self.tables[size] = (np.array([r[0] for r in rows], "uint64"), [(r[1], r[2]) for r in rows])
-
-        self.shortest = min(self.tables, default=0)
-        forms = " ".join(v for v in self.vocabulary if v not in (NUM, UNIT, NAME)).encode("utf-8", "surrogatepass")
+        for key, rows in found.items():
+            hashes, numbers, places = map(np.concatenate, zip(*rows))
+            if len(hashes):
+                order = np.lexsort((places, numbers, hashes))
+                self.tables[key] = (hashes[order], numbers[order], places[order])
+
+        self.shortest = min((size for size, _ in self.tables), default=0)
+        forms = " ".join(v for v in [*self.vocabulary, *NUMBER_WORDS] if v not in (NUM, UNIT, NAME)).encode("utf-8", "surrogatepass")
         self.plain_hashes = np.unique(word_hashes(np.frombuffer(forms, "uint8"))[2])
-        units = " ".join(UNITS).encode()
+        units = " ".join([*UNITS, *NUMBER_WORDS]).encode()
         self.unit_hashes = np.unique(word_hashes(np.frombuffer(units, "uint8"))[2])
 
+    def is_slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes[..., None] == self.slots).any(-1)
+
+    def variants(self, codes: Codes, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(hashes, whether there are enough plain words, positions) of the readings of an item's windows."""
+        need = min(self.plain, size)
+        everywhere = np.arange(len(codes) - size + 1)
+        for k, reading in enumerate(codes.readings()):
+            new = np.ones(len(everywhere), bool)
+            for other in codes.readings()[:k]:
+                new &= counts(other != reading, size) > 0
+            yield window_hashes(reading, size), new & (counts(~self.is_slot(reading), size) >= need), everywhere
+
     def possible(self, bodies: list[bytes]) -> np.ndarray:
         """False where no window can match: too few words in a row are in the vocabulary or may be slots."""
         out = np.zeros(len(bodies), bool)
         size = self.shortest
         if not size:
             return out
-        begin, _, hashes = word_hashes(body := np.frombuffer(b"\n".join(bodies), "uint8"))
+        begin, end, hashes = word_hashes(body := np.frombuffer(b"\n".join(bodies), "uint8"))
+        solid = np.concatenate([[0], np.cumsum(SOLID[body])])
+        kept = solid[end] > solid[begin]  # words of ASCII punctuation alone are in no window
+        begin, hashes = begin[kept], hashes[kept]
         if len(begin) < size:
             return out
         owner = np.searchsorted(np.cumsum([len(b) + 1 for b in bodies]), begin, "right")
-        plain = isin(hashes, self.plain_hashes)
+        plain = isin(hashes, self.plain_hashes) | (hashes == 0)  # other words without hash may be punctuation
         known = np.concatenate([[0], np.cumsum(plain)])
         fits = np.concatenate([[0], np.cumsum(plain | OPENS_SLOT[body[begin]] | isin(hashes, self.unit_hashes))])
-        hit = (fits[size:] - fits[:-size] == size) & (known[size:] - known[:-size] >= min(self.plain, size))
-        hit &= owner[: len(hit)] == owner[size - 1 :]
-        out[owner[np.flatnonzero(hit)]] = True
+        for size in {size for size, _ in self.tables if size <= len(begin)}:
+            hit = (fits[size:] - fits[:-size] == size) & (known[size:] - known[:-size] >= min(self.plain, size))
+            hit &= owner[: len(hit)] == owner[size - 1 :]
+            out[owner[np.flatnonzero(hit)]] = True
         return out
 
-    def plain_words(self, codes: np.ndarray) -> int:
-        return sum(c not in self.slots for c in codes.tolist())
-
     def hits(self, coder: Coder, words: list[bytes]) -> list[tuple[int, int, int, int, int]]:
         codes = coder.codes(words)
-        diagonals = defaultdict(list)
-        for size, (hashes, places) in self.tables.items():
+        diagonals = defaultdict(set)
+        for (size, verbatim), (hashes, numbers, places) in self.tables.items():
             if len(codes) < size:
                 continue
-            known = np.concatenate([[0], np.cumsum(codes > 0)])
-            full = np.flatnonzero(known[size:] - known[:-size] == size)
-            if not len(full):
+            readings = [codes.literal] if verbatim else codes.readings()
+            for k, reading in enumerate(readings):
+                full = counts(reading > 0, size) == size
+                for other in readings[:k]:
+                    full &= counts(other != reading, size) > 0
+                full = np.flatnonzero(full)
+                if not len(full):
+                    continue
+                values = np.zeros(len(full), "uint64")
+                for j in range(size):
+                    values = (values ^ reading[full + j].astype("uint64")) * FACTOR
+                    values ^= values >> np.uint64(29)
+                low, high = np.searchsorted(hashes, values, "left"), np.searchsorted(hashes, values, "right")
+                for j in np.flatnonzero(high > low):
+                    for n, place in zip(numbers[low[j] : high[j]].tolist(), places[low[j] : high[j]].tolist()):
+                        diagonals[n].add(int(full[j]) - place)
+        out = []
+        for number, shifts in sorted(diagonals.items()):
+            item_id, _, item = self.items[number]
+            found = sorted((place + shift, place) for shift in shifts for place in self.alike(item, codes, shift))
+            result = self.agree(number, found, words, codes)
+            if result[1] >= min(self.covered, len(item)):
+                out.append((item_id, *result))
+        return out
+
+    def alike(self, item: Codes, codes: Codes, shift: int) -> list[int]:
+        """Positions of the windows of a diagonal that match but for the values of slots, with enough plain words or verbatim."""
+        size = min(self.window, len(item))
+        first, stop = max(0, -shift), min(len(item), len(codes) - shift)
+        if stop - first < size:
+            return []
+        here, there = slice(first, stop), slice(first + shift, stop + shift)
+        equal = item.literal[here] == codes.literal[there]
+        slot = self.is_slot(item.named[here]) & (item.named[here] == codes.named[there])
+        plain = equal & ~(self.is_slot(item.inside[here]) & self.is_slot(codes.inside[there]))
+        fits = (counts(plain, size) >= min(self.plain, size)) | (counts(equal, size) == size)
+        return (first + np.flatnonzero(fits & (counts(equal | slot, size) == size))).tolist()
+
+    def agree(self, number: int, found: list[tuple[int, int]], words: list[bytes], codes: Codes) -> tuple[int, int, int, int]:
+        """Windows, words, slots and changed slots of the best chain of windows whose slots agree with those before them."""
+        _, forms, item = self.items[number]
+        size, slot = min(self.window, len(item)), self.is_slot(item.named)
+        best, begun = (0, 0, 0, 0), set()
+        for start, (at, place) in enumerate(found):
+            if at - place not in begun:
+                begun.add(at - place)
+                alone = [(a, p) for a, p in found[start:] if a - p == at - place]
+                best = max(best, *(self.chain(item, forms, slot, size, part, words, codes) for part in (alone,)), key=lambda r: (r[1], r))
+        return best
+
+    def chain(self, item: Codes, forms: list[str], slot: np.ndarray, size: int, found: list, words: list[bytes], codes: Codes) -> tuple[int, int, int, int]:
+        """The same of the chain that begins with the first window and takes each next one that follows and agrees."""
+        there: dict[str, str] = {}
+        back: dict[str, str] = {}
+        covered, slots, windows, last = set(), {}, 0, found[0]
+        for at, place in found:
+            if at > last[0] + len(item) + size:
+                break
+            ahead, along = at - last[0], place - last[1]
+            if ahead != along and not (size <= ahead <= size + self.window and size <= along <= size + self.window):
                 continue
-            values = np.zeros(len(full), "uint64")
-            for k in range(size):
-                values = (values ^ codes[full + k].astype("uint64")) * FACTOR
-                values ^= values >> np.uint64(29)
-            low, high = np.searchsorted(hashes, values, "left"), np.searchsorted(hashes, values, "right")
-            for k in np.flatnonzero(high > low):
-                at = int(full[k])
-                for number, place in places[low[k] : high[k]]:
-                    if (self.items[number][2][place : place + size] == codes[at : at + size]).all():
-                        diagonals[number, at - place].append((place, size))
-        best: dict[int, tuple[int, int, int, int]] = {}
-        for (number, shift), found in sorted(diagonals.items()):
-            result = self.agree(number, shift, found, words)
-            if result[1] >= min(self.covered, len(self.items[number][1])) and result > best.get(number, (0,)):
-                best[number] = result
-        return [(self.items[n][0], windows, covered, slots, changed) for n, (windows, covered, slots, changed) in sorted(best.items())]
-
-    def agree(self, number: int, shift: int, found: list[tuple[int, int]], words: list[bytes]) -> tuple[int, int, int, int]:
-        """Windows, words, slots and changed slots of the windows whose slots agree with those before them."""
-        _, item, codes = self.items[number]
-        there: dict[bytes, bytes] = {}
-        back: dict[bytes, bytes] = {}
-        covered, slots, windows = set(), {}, 0
-        for place, size in sorted(found):
-            pairs = [
-                (k, bare(item[k].decode("utf-8", "replace")), bare(words[k + shift].decode("utf-8", "replace")))
-                for k in range(place, place + size) if int(codes[k]) in self.slots
-            ]
+            pairs = [(k, forms[k], literal(words[codes.at[k + at - place]])) for k in range(place, place + size) if slot[k]]
             new_there, new_back = dict(there), dict(back)
             if all(new_there.setdefault(a, b) == b and new_back.setdefault(b, a) == a for _, a, b in pairs):
-                there, back = new_there, new_back
+                there, back, last = new_there, new_back, (at, place)
                 windows += 1
                 covered.update(range(place, place + size))
                 slots.update((k, a != b) for k, a, b in pairs)
