@@ -1,11 +1,12 @@
 """Benchmark decontamination by canonical templates.
 
-Words are stripped of punctuation and lower-cased, and words of punctuation alone are dropped; numbers,
+Words are stripped of punctuation and lower-cased, and words of punctuation alone are dropped; numbers (also in words),
 units and names become typed placeholders. A capitalised word may be a name or not: windows are looked up with all of
 them as names, with none, and with those inside sentences. Windows of a document's canonical words are looked up in the
 hash table of the benchmark's windows. What is found names diagonals (the same shift between document and item), whose
 windows are then compared word by word and must agree on their slots: each value of the item stands for one value of the
-document and the other way round. A document contains an item if the agreeing windows cover enough of its words.
+document and the other way round. Windows of several diagonals add up if they follow each other in document and item,
+with at most a window's length between them. A document contains an item if the agreeing windows cover enough of its words.
 
 Windows with changed slots need some plain words, so that placeholders alone never match; windows with fewer count if
 they are verbatim. Items shorter than a window are one window.
@@ -44,7 +45,14 @@ UNITS = frozenset(
 NUMBER = re.compile(r"[-+~€$£]?\d[\d,.:/]*(?:st|nd|rd|th|%|°|[a-z]{1,3})?")
 EDGES = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~“”‘’«»…–—¿¡"
 NUM, UNIT, NAME = "<number>", "<unit>", "<name>"
-NUMBER_WORDS: dict[str, str] = {}
+ONES = "one two three four five six seven eight nine".split()
+TEENS = "ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
+NUMBER_WORDS = {w: str(k) for k, w in enumerate(["zero", *ONES, *TEENS])} | {"hundred": "100", "thousand": "1000", "million": "1000000"}
+for _k, _ten in enumerate(TENS, 2):
+    NUMBER_WORDS |= {_ten: str(10 * _k)} | {f"{_ten}-{one}": str(10 * _k + n) for n, one in enumerate(ONES, 1)}
+#: Capitalised words in a window of an item up to which every choice of names among them is in the table.
+CHOICES = 3
 HITS = "array<struct<item_id:bigint,n_windows:int,n_words:int,n_slots:int,n_changed:int>>"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -209,13 +217,26 @@ class Index:
 
     def variants(self, codes: Codes, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(hashes, whether there are enough plain words, positions) of the readings of an item's windows."""
-        need = min(self.plain, size)
+        need, name = min(self.plain, size), codes.named != codes.unnamed
         everywhere = np.arange(len(codes) - size + 1)
         for k, reading in enumerate(codes.readings()):
             new = np.ones(len(everywhere), bool)
             for other in codes.readings()[:k]:
                 new &= counts(other != reading, size) > 0
             yield window_hashes(reading, size), new & (counts(~self.is_slot(reading), size) >= need), everywhere
+        capital = counts(name, size)
+        some = np.flatnonzero((capital > 1) & (capital <= CHOICES))
+        if not len(some):
+            return
+        spread = some[:, None] + np.arange(size)
+        place = np.cumsum(name[spread], axis=1) - 1
+        known = [reading[spread] for reading in codes.readings()]
+        for choice in range(1, 2**CHOICES - 1):
+            chosen = name[spread] & (choice >> np.maximum(place, 0) & 1 > 0)
+            reading = np.where(chosen, self.vocabulary[NAME], codes.unnamed[spread])
+            new = (choice < 2 ** capital[some]) & np.all([(reading != k).any(1) for k in known], axis=0)
+            hashes = np.array([window_hashes(row, size)[0] for row in reading], "uint64")
+            yield hashes, new & ((~self.is_slot(reading)).sum(1) >= need), some
 
     def possible(self, bodies: list[bytes]) -> np.ndarray:
         """False where no window can match: too few words in a row are in the vocabulary or may be slots."""
@@ -292,7 +313,7 @@ class Index:
             if at - place not in begun:
                 begun.add(at - place)
                 alone = [(a, p) for a, p in found[start:] if a - p == at - place]
-                best = max(best, *(self.chain(item, forms, slot, size, part, words, codes) for part in (alone,)), key=lambda r: (r[1], r))
+                best = max(best, *(self.chain(item, forms, slot, size, part, words, codes) for part in (alone, found[start:])), key=lambda r: (r[1], r))
         return best
 
     def chain(self, item: Codes, forms: list[str], slot: np.ndarray, size: int, found: list, words: list[bytes], codes: Codes) -> tuple[int, int, int, int]:

@@ -9,6 +9,11 @@ ITEMS = {
     2: "Which river , of all , crosses the old town ?",
     3: "On 3 May 1998 Anna Karl and Peter Smith paid 40 dollars to Maria Jones",
 }
+NAMED = {
+    11: "What is the largest city near Rome today",
+    12: "Alice has seven green apples and gives two of them away to her friend. How many apples are left in the basket",
+    13: "In the small harbour near the old mill Mary sold fresh bread every single morning before the boats returned",
+}
 
 
 def found(items, text, **options):
@@ -29,3 +34,30 @@ def test_dense_slots_with_other_values_are_no_copy():
 
 def test_punctuation_words_of_one_side_only():
     assert set(found(ITEMS, "say: Which river, of all — “ crosses the old town? indeed")) == {2}
+
+
+@pytest.mark.parametrize("item,text", [
+    (11, f"Exercise 4\n{NAMED[11]}"),
+    (11, f"so {NAMED[11].lower()} they ask"),
+    (12, NAMED[12].replace("Alice", "Bob")),
+    (12, NAMED[12].replace("seven", "9").replace("two", "3").replace("Alice", "Bob")),
+    (12, "Task 3 " + NAMED[12].lower().replace("seven", "8")),
+    (13, NAMED[13].replace("Mary", "Mary Ann")),
+    (13, NAMED[13].replace("fresh bread", "fresh white bread")),
+])
+def test_names_number_words_and_inserted_words(item, text):
+    assert set(found(NAMED, text)) == {item}
+
+
+def test_pieces_out_of_order_or_far_apart_do_not_add_up():
+    words = NAMED[13].split()
+    first, second = " ".join(words[:9]), " ".join(words[9:])
+    assert set(found(NAMED, f"{first} indeed {second}")) == {13}
+    assert not found(NAMED, f"{second} indeed {first}")
+    assert not found(NAMED, first + " then" * 30 + f" {second}")
+
+
+def test_short_items_hide_no_spread_windows():
+    items = NAMED | {14: "four plain words here", 15: "red 5 dogs 6 saw cats 7 near old 8 barns 9 while hot winds 3 blew"}
+    text = items[15].replace("5", "51").replace("9", "91")
+    assert 15 in found(items, text)
