@@ -1,13 +1,13 @@
 """Packing token pieces into fixed windows by minimum bin slack.
 
 A document is its token ids and the end id. Ids beyond whole windows are cut at multiples of the window, so a
-document gives full pieces and at most one shorter rest. Rests are dealt into shards of similar size (salted by a
-hash, so no source or document can fill one) and each shard is packed on its own: a window starts with the longest
+document gives full pieces and at most one shorter rest. Rests are dealt into shards of similar size (by a hash of
+ids, content and place in the staged table, so no source, document, repeated row or missing id can fill one) and each shard is packed on its own: a window starts with the longest
 rest and takes the multiset of remaining lengths whose sum comes closest to the free room, found by subset sums in
 one big integer per step; the multiset is reused as often as the counts of its lengths allow.
 
-NULL and empty texts are the end id alone. Repeated rows are packed as often as they occur; a row's place is decided
-by (doc_id, start, crc), ties in input order. An empty table gives no rows. Extra columns are ignored.
+NULL and empty texts are the end id alone. Repeated rows are packed as often as they occur; a row's place
+within its shard is decided by (doc_id, start, crc), ties in input order. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -204,7 +204,9 @@ def fill_windows(lengths: list[int], window: int = WINDOW) -> list[tuple[int, di
 def pack(pieces: DataFrame, window: int = WINDOW, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Adds sequence_id and offset to (doc_id, start, length, ...) rows. `pieces` is read twice: stage it first."""
     shards = max(1, -(-pieces.count() // shard_pieces))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards)))
+    # The place of a row spreads rows without id and repeated rows, which are alike in all else.
+    spread = F.xxhash64("doc_id", "start", "ids_crc32", "length", F.monotonically_increasing_id())
+    dealt = pieces.withColumn("shard", F.pmod(spread, F.lit(shards)))
 
     def place(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "start", "ids_crc32"], kind="stable").reset_index(drop=True)
