@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, licenses, neardup, packing, passages, quality, rules, secrets, suffixes
+from . import decontamination, language, licenses, manifest, neardup, packing, passages, quality, rules, secrets, suffixes
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified_manifest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scan": op2_secret_scan,
@@ -64,8 +68,12 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_license_scan": op9_license_scan,
     "op10_suffix_array": op10_suffix_array,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op9_license_scan": licenses.oracle()}
+ORACLES: dict[str, str] = {
+    "op9_license_scan": licenses.oracle(),
+    "op11_merkle_manifest": manifest.oracle(),
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
