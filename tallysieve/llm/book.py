@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language, licenses, manifest, neardup, packing, passages, quality, rules, secrets, suffixes, vectors
+from . import bpe, decontamination, language, licenses, manifest, neardup, packing, passages, quality, rules, secrets, suffixes, vectors
 from .common import documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verified_manifest(documents(spark, sf_dir))
 
 
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.compress(table(spark, sf_dir, "embeddings"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op9_license_scan": op9_license_scan,
     "op10_suffix_array": op10_suffix_array,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_bpe_round_trip": op12_bpe_round_trip,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
