@@ -119,6 +119,7 @@ class Coder:
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tokens = [self.tokenizer.id_to_token(k) for k in range(self.tokenizer.get_vocab_size())]
         self.numbers = [str(k) for k in range(len(self.tokens))]
+        self.kind = "<u2" if len(self.tokens) <= 1 << 16 else "<u4"  # of ids on their way between tasks
 
     def encode(self, parts: list[bytes]) -> list[np.ndarray]:
         strings = [p.decode("utf-8", "surrogatepass") for p in parts]
@@ -228,7 +229,7 @@ def encoded(
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, sent = filled.value, set()
-        encode = coder(path).encode
+        encode, kind = coder(path).encode, coder(path).kind
         blank = (None,) * len(names)
         for frame in frames:
             whole = [(t or "").encode("utf-8", "surrogatepass") for t in frame["text"]]
@@ -248,7 +249,7 @@ def encoded(
                     if not plan.shared:
                         out.append((DONE, row, doc_id, 0, None, None, *finish(pieces[0])))
                         continue
-                    out += [(INLINE, row, doc_id, 2 * n, None, ids.tobytes(), *blank) for n, ids in enumerate(pieces)]
+                    out += [(INLINE, row, doc_id, 2 * n, None, ids.astype(kind).tobytes(), *blank) for n, ids in enumerate(pieces)]
                     for n, (k, digest, (first, last)) in enumerate(plan.shared):
                         out.append((SHARED, row, doc_id, 2 * n + 1, digest, None, *blank))
                         if digest not in sent:
@@ -261,7 +262,7 @@ def encoded(
     def encode_once(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ids = coder(path).encode([bytes(p) for p in frame["payload"]])
-            yield pd.DataFrame({"digest": frame["digest"], "lent": [i.tobytes() for i in ids]})
+            yield pd.DataFrame({"digest": frame["digest"], "lent": [i.astype(coder(path).kind).tobytes() for i in ids]})
 
     chunks = parts.where(F.col("kind") == CHUNK).select("digest", "payload").dropDuplicates(["digest"])
     lent = stage("lent", chunks.mapInPandas(encode_once, "digest binary, lent binary"))
@@ -275,7 +276,7 @@ def encoded(
         for _, group in groupby(rows, key=lambda r: r.row):
             own = list(group)
             doc_id = None if pd.isna(own[0].doc_id) else int(own[0].doc_id)
-            out.append((doc_id, *finish(np.frombuffer(b"".join(r.ids for r in own), "<u4"))))
+            out.append((doc_id, *finish(np.frombuffer(b"".join(r.ids for r in own), coder(path).kind).astype("<u4"))))
             if len(out) >= 500:
                 yield pd.DataFrame(out, columns=["doc_id", *names], dtype=object)
                 out = []
