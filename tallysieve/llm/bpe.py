@@ -10,12 +10,12 @@ either side. If the ids of these two words come out as they are within the chunk
 chunk on that side is given up, its bytes go to the text between, and the join is tried again, down to a document that is
 encoded whole. The tokenizer drops white space and never joins across it, so disagreement needs another tokenizer.
 
-How chunks are found to be shared: their digests are counted in 2^26 buckets by partial aggregates, and the buckets
-that hold two chunks or more become a filter of 8 MB, its largest size, that every task gets. A chunk that passes it by
+How chunks are found to be shared: their digests are counted in 2^27 buckets by partial aggregates, and the buckets
+that hold two chunks or more become a filter of 16 MB, its largest size, that every task gets. A chunk that passes it by
 chance is dealt out like a shared one. On a corpus of many more chunks than buckets nearly all pass: then all chunks are
 dealt out, each is still encoded once, and the shuffle grows to that of the texts and their ids. No case is dropped.
 
-Chunks travel by digest, once a task; parts of documents travel under the number of their row, so that no source, id,
+Chunks travel by digest, once a task; what a document has of its own travels as one row under the number of its row, so that no source, id,
 repeated row or common chunk gathers in one task. NULL and empty texts have no ids. Texts of any length are cut alike, and are
 held by one task each. Special tokens' strings in a text are those tokens, as the library has it by default. Repeated
 rows and rows without id each give their own row. An empty table gives no rows; columns beyond doc_id and text are ignored.
@@ -38,10 +38,10 @@ from .common import Stage, texts
 from .packing import encoder, portions, tokenizer_file
 
 #: Bytes that the rolling hash sees, mean length of a chunk beyond the least, least length.
-SPAN, MEAN, LEAST = 16, 256, 64
-FILTER_BITS = 26
+SPAN, MEAN, LEAST = 16, 512, 128
+FILTER_BITS = 27
 GAPS = b" \n\t"
-DONE, INLINE, SHARED, CHUNK = range(4)
+DONE, PARTIAL, CHUNK = range(3)
 
 Finish = Callable[[np.ndarray], tuple]
 
@@ -224,8 +224,9 @@ def encoded(
     docs = texts(docs)
     filled = spark.sparkContext.broadcast(shared_filter(docs, bits, mean, least))
     names = StructType.fromDDL(schema).names
-    parts_schema = f"kind int, row long, doc_id long, n int, digest binary, payload binary, {schema}"
-    columns = ["kind", "row", "doc_id", "n", "digest", "payload", *names]
+    # PARTIAL: ids and lengths of the texts between insides, digests of the chunks; CHUNK: a digest and an inside.
+    parts_schema = f"kind int, row long, doc_id long, payload binary, lengths array<int>, digests array<binary>, {schema}"
+    columns = ["kind", "row", "doc_id", "payload", "lengths", "digests", *names]
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, sent = filled.value, set()
@@ -247,14 +248,14 @@ def encoded(
                 for doc_id, row, (plan, pieces) in zip(ids_of[part], rows_of[part], repaired(plans, encode)):
                     doc_id = None if pd.isna(doc_id) else int(doc_id)
                     if not plan.shared:
-                        out.append((DONE, row, doc_id, 0, None, None, *finish(pieces[0])))
+                        out.append((DONE, row, doc_id, None, None, None, *finish(pieces[0])))
                         continue
-                    out += [(INLINE, row, doc_id, 2 * n, None, ids.astype(kind).tobytes(), *blank) for n, ids in enumerate(pieces)]
-                    for n, (k, digest, (first, last)) in enumerate(plan.shared):
-                        out.append((SHARED, row, doc_id, 2 * n + 1, digest, None, *blank))
+                    own = np.concatenate(pieces).astype(kind).tobytes()
+                    out.append((PARTIAL, row, doc_id, own, [len(p) for p in pieces], [d for _, d, _ in plan.shared], *blank))
+                    for k, digest, (first, last) in plan.shared:
                         if digest not in sent:
                             sent.add(digest)
-                            out.append((CHUNK, None, None, None, digest, plan.chunks[k][first:last], *blank))
+                            out.append((CHUNK, None, None, plan.chunks[k][first:last], None, [digest], *blank))
                 yield pd.DataFrame(out, columns=columns, dtype=object)
 
     parts = stage("parts", docs.withColumn("row", F.monotonically_increasing_id()).mapInPandas(cut, parts_schema))
@@ -264,25 +265,31 @@ def encoded(
             ids = coder(path).encode([bytes(p) for p in frame["payload"]])
             yield pd.DataFrame({"digest": frame["digest"], "lent": [i.astype(coder(path).kind).tobytes() for i in ids]})
 
-    chunks = parts.where(F.col("kind") == CHUNK).select("digest", "payload").dropDuplicates(["digest"])
+    chunks = parts.where(F.col("kind") == CHUNK).select(F.col("digests")[0].alias("digest"), "payload").dropDuplicates(["digest"])
     lent = stage("lent", chunks.mapInPandas(encode_once, "digest binary, lent binary"))
-    borrowed = parts.where(F.col("kind") == SHARED).select("row", "doc_id", "n", "digest").join(lent, "digest")
-    pieces = parts.where(F.col("kind") == INLINE).select("row", "doc_id", "n", F.col("payload").alias("ids"))
-    pieces = pieces.unionByName(borrowed.select("row", "doc_id", "n", F.col("lent").alias("ids")))
+    partial = parts.where(F.col("kind") == PARTIAL)
+    asked = partial.select("row", F.posexplode("digests").alias("n", "digest"))
+    none = (F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("array<int>").alias("lengths"))
+    pieces = partial.select("row", F.lit(-1).alias("n"), F.col("payload").alias("ids"), "doc_id", "lengths")
+    pieces = pieces.unionByName(asked.join(lent, "digest").select("row", "n", F.col("lent").alias("ids"), *none))
 
     def put_together(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kind, out = np.dtype(coder(path).kind), []
         rows = (r for frame in frames for r in frame.astype({"doc_id": "object"}).itertuples(index=False))
-        out = []
         for _, group in groupby(rows, key=lambda r: r.row):
-            own = list(group)
-            doc_id = None if pd.isna(own[0].doc_id) else int(own[0].doc_id)
-            out.append((doc_id, *finish(np.frombuffer(b"".join(r.ids for r in own), coder(path).kind).astype("<u4"))))
+            own = next(group)
+            ends = kind.itemsize * np.cumsum([0, *own.lengths])
+            parts = [own.ids[a:z] for a, z in zip(ends.tolist(), ends.tolist()[1:])]
+            whole = b"".join([parts[0], *(x for r, text in zip(group, parts[1:]) for x in (r.ids, text))])
+            doc_id = None if pd.isna(own.doc_id) else int(own.doc_id)
+            out.append((doc_id, *finish(np.frombuffer(whole, kind).astype("<u4"))))
             if len(out) >= 500:
                 yield pd.DataFrame(out, columns=["doc_id", *names], dtype=object)
                 out = []
         yield pd.DataFrame(out, columns=["doc_id", *names], dtype=object)
 
     together = pieces.repartition("row").sortWithinPartitions("row", "n").mapInPandas(put_together, f"doc_id long, {schema}")
+    stage.free()
     return parts.where(F.col("kind") == DONE).select("doc_id", *names).unionByName(together)
 
 

@@ -67,7 +67,10 @@ class Stage(Staging):
     up on the executors.
     """
 
-    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+    def free(self) -> None:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        self.free()
         return super().__call__(name, df)

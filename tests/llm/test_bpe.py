@@ -69,7 +69,7 @@ def test_chunks_join_to_the_text_and_follow_content(vocabulary):
 def test_most_of_a_shared_text_comes_from_insides(vocabulary):
     rng = random.Random(9)
     passage = make_text(rng, 600, vocabulary)
-    chunks = next(iter(bpe.chunks_of([passage.encode()])))
+    chunks = next(iter(bpe.chunks_of([passage.encode()], 256, 64)))
     plan = bpe.Plan(chunks, [(k, bpe.digest_of(c), bpe.inside_of(c)) for k, c in enumerate(chunks) if bpe.inside_of(c)])
     kept, pieces = bpe.repaired([plan], bpe.coder(bpe.tokenizer_file()).encode)[0]
     assert len(kept.shared) == len(plan.shared) > 5 and len(pieces) == len(plan.shared) + 1
