@@ -14,6 +14,7 @@ from ..sinks import exports, publish
 from ..sinks.staging import Staging
 from ..sources.batch import read_batch
 from ..sources.listing import UNLIMITED, Limits
+from ..sources.ranges import RANGE_BYTES
 from .evaluate import Evaluation, evaluate
 from .normalise import normalise_all
 
@@ -84,12 +85,12 @@ def run_batch(
     quarantine: str,
     as_of: Column | None = None,
     limits: Limits = UNLIMITED,
-    split_above: int | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> Run:
     tune(spark)
     started = time.time()
     stage = Staging(spark)
-    batch = read_batch(spark, path, limits, stage, split_above)
+    batch = read_batch(spark, path, limits, stage, range_bytes)
     raw = batch.tables()
     clean, ev = build(raw, stage, as_of)
     version = publish.new_version()

@@ -7,14 +7,14 @@ import zipfile
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..operators import explore, keys, marts
 from ..plans import run
 from ..plans.evaluate import evaluate
-from ..sinks import exports, publish
+from ..sinks import exports, publish, raw_files
 from ..sinks.staging import Staging
 from ..sources import archives, batch, delimited, listing, published
 from . import adapter, oracle as o
@@ -28,24 +28,44 @@ NO_LIMITS = listing.UNLIMITED
 
 
 def _folder(w) -> str:
-    """The four raw tables as delimited files; one folder per contract, named as the contract's file."""
+    """The four raw tables as files of their contracts: the bytes Spark writes, landed under names of their own.
+
+    The customers' file starts with a byte order mark; names have blanks, and one is hidden.
+    """
     if "folder" not in w.__dict__:
         w.folder = f"{w.stage.folder}/input"
         for name in adapter.RAW:
-            rows = w.raw(name).select(*fv.CONTRACT_COLUMNS[name])
-            exports.write_delimited(rows, f"{w.folder}/{name}")
+            target = f"{w.stage.folder}/written/{name}"
+            exports.write_delimited(w.raw(name).select(*fv.CONTRACT_COLUMNS[name]), target)
+            part = F.regexp_extract("path", r"part-([0-9]+)", 1)
+            mark = F.unhex(F.lit(fv.UTF8_BOM_HEX)) if name == "consultores" else F.lit(b"")
+            hidden = F.lit("_") if name == "lojas" else F.lit("")
+            files = listing.binary_files(w.spark, target).select(
+                F.concat(F.lit(f"{name}/"), hidden, F.lit("part "), part, F.lit(".csv")).alias("name"),
+                F.concat(mark, F.col("content")).alias("content"),
+            )
+            raw_files.land_files(files, w.folder).write.format("noop").mode("overwrite").save()
     return w.folder
 
 
 def _batch(w) -> batch.Batch:
     if "batch" not in w.__dict__:
-        w.batch = batch.read_batch(w.spark, _folder(w), NO_LIMITS, w.stage)
+        w.batch = batch.read_batch(w.spark, _folder(w), NO_LIMITS, Staging(w.spark))
     return w.batch
 
 
-def _files(w) -> DataFrame:
-    files = listing.binary_files(w.spark, _folder(w)).withColumn("source_file", listing.relative_to(F.col("path"), _folder(w)))
-    return files.withColumn("schema_hint", F.lit(None).cast("string"))
+def _small_ranges(w) -> batch.Batch:
+    """The same folder in ranges of 64 kB: many tasks a file."""
+    if "ranged" not in w.__dict__:
+        w.ranged = batch.read_batch(w.spark, _folder(w), NO_LIMITS, Staging(w.spark), 1 << 16)
+    return w.ranged
+
+
+def _listing(w) -> DataFrame:
+    if "listing" not in w.__dict__:
+        stage = Staging(w.spark)
+        w.listing = stage("listing", listing.list_files(w.spark, _folder(w), stage))
+    return w.listing
 
 
 _PER_CONTRACT = " union all ".join(f"select '{c}' as schema_name, count(*) as rows from raw_{c}" for c in adapter.RAW)
@@ -58,17 +78,39 @@ def _(w):
     return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
 
 
-@query("a02_discover_files", " union all ".join(f"select '{c}' as folder, true as found, false as skipped" for c in adapter.RAW))
+@query(
+    "a02_discover_files",
+    " union all ".join(f"select '{c}' as folder, 1 as folders, true as found, false as skipped, {'true' if c == 'lojas' else 'false'} as hidden" for c in adapter.RAW),
+)
 def _(w):
-    files = listing.list_files(w.spark, _folder(w))
-    return files.groupBy(F.split("source_file", "/")[0].alias("folder")).agg(
-        (F.count(F.lit(1)) > 0).alias("found"), F.bool_or("skipped").alias("skipped")
+    name = F.split("source_file", "/")
+    return _listing(w).groupBy(name[0].alias("folder")).agg(
+        F.count_if(F.col("kind") == "folder").cast("int").alias("folders"), (F.count_if(F.col("kind") == "file") > 0).alias("found"),
+        F.bool_or("skipped").alias("skipped"), F.bool_or(F.coalesce(F.get(name, F.lit(1)).startswith("_"), F.lit(False))).alias("hidden"),
     )
 
 
-@query("a03_file_limits", "select '' as source_file, 'input over the total size limit' as problem where (select count(*) from lineitem) > 0")
+_ODD_FILES = "case o_orderkey % 8 when 0 then '.csv' when 1 then '.exe' when 2 then '.CSV' when 3 then '.csv.bak' else '.csv' end"
+_ODD_TEXT = "case when o_orderkey % 8 in (4, 5) then '' else repeat('x', cast(o_orderkey % 8 as int) + 1) end"
+_ODD_NAME = f"concat(case when o_orderkey % 3 = 0 then '_' when o_orderkey % 3 = 1 then '.' else '' end, 'order ', o_orderkey, {_ODD_FILES})"
+
+
+@query(
+    "a03_file_limits",
+    f"""with files as (select {_ODD_NAME} as source_file, length({_ODD_TEXT}) as size from orders where o_orderpriority = '1-URGENT' and o_orderkey % 32 < 8)
+    select source_file, case when not lower(source_file) like '%.csv' then 'unexpected file' when size = 0 then 'empty file' when size > 6 then 'file over the size limit' end as problem from files
+    where not lower(source_file) like '%.csv' or size = 0 or size > 6
+    union all select '', 'too many entries' where (select count(*) from files) + (select count(*) from files) > 0
+    union all select '', 'input over the total size limit' where (select sum(size) from files) > 1""",
+)
 def _(w):
-    return listing.listing_problems(listing.list_files(w.spark, _folder(w)), listing.Limits(total_bytes=1))
+    """Files of urgent orders, hidden ones and all, against all limits of a folder."""
+    orders = w.spark.read.parquet(f"{w.sf}/orders.parquet").where("o_orderpriority = '1-URGENT' and o_orderkey % 32 < 8")
+    files = orders.select(F.expr(_ODD_NAME).alias("name"), F.expr(_ODD_TEXT).cast("binary").alias("content"))
+    target = f"{w.stage.folder}/odd"
+    raw_files.land_files(files, target).write.format("noop").mode("overwrite").save()
+    found = listing.list_files(w.spark, target)
+    return listing.listing_problems(found, listing.Limits(entries=1, file_bytes=6, total_bytes=1))
 
 
 def _zipper(folder: str, readme: str):
@@ -106,26 +148,54 @@ def _monthly_archives(w) -> DataFrame:
 
 
 _MONTHS = "select distinct substring(__source_file, 8, 7) as m from raw_vendas"
+_ARCHIVES = f"select 'vendas_' || m || '_1.zip' as archive, m from ({_MONTHS})"
+
 
+def _incoming(w) -> str:
+    """The archives in the folder where deliveries land, numbered within a month; those of December hold a program."""
+    if "incoming" not in w.__dict__:
+        w.incoming = f"{w.stage.folder}/incoming"
+        packed = _monthly_archives(w).withColumn("m", F.regexp_extract("path", r"m=([0-9_]+)", 1))
+        number = F.row_number().over(Window.partitionBy("m").orderBy("path"))  # a row for each file of a month
+        landed = packed.select(F.format_string("vendas_%s_%d.zip", "m", number).alias("name"), "content")
+        raw_files.land_files(landed, w.incoming).write.format("noop").mode("overwrite").save()
+    return w.incoming
 
-@query("a04_archive_admission", f"select distinct 'dados/vendas/vendas_' || m || '.csv' as member, cast(null as varchar) as problem from ({_MONTHS}) union all select 'payload.exe', 'unexpected member' where exists (select 1 from ({_MONTHS}) where m like '%12') union all select 'README.md', null")
+
+@query(
+    "a04_archive_admission",
+    " union all ".join((
+        f"select archive, 'dados/vendas/vendas_' || m || '.csv' as member, cast(null as varchar) as problem from ({_ARCHIVES})",
+        f"select archive, case when m like '%12' then 'payload.exe' else 'README.md' end, case when m like '%12' then 'unexpected member' end from ({_ARCHIVES})",
+        *(f"select archive, cast(null as varchar), '{p}' from ({_ARCHIVES})" for p in ("archive over the size limit", "too many members")),
+    )),
+)
 def _(w):
-    members = archives.manifest(_monthly_archives(w))
-    found = archives.member_problems(members).where("member is not null")
-    joined = members.select("archive", "member").join(found, ["archive", "member"], "left")
-    return joined.select("member", "problem").distinct()
+    """What is in each archive, what is wrong with it, and what is wrong with the archive itself."""
+    archive = F.regexp_extract("archive", r"([^/]*)$", 1).alias("archive")
+    members = archives.manifest(listing.binary_files(w.spark, _incoming(w)))
+    found = archives.member_problems(members, listing.Limits(entries=1, archive_bytes=1))
+    named = members.select("archive", "member").join(found.where("member is not null"), ["archive", "member"], "left")
+    return named.unionByName(found.where("member is null")).select(archive, "member", "problem")
 
 
 @query("a05_expand_archive", f"select {SALES} from raw_vendas where __source_file not like '%\\_12.csv' escape '\\'")
 def _(w):
-    expanded = archives.expand(_monthly_archives(w)).where("schema_hint is not null and source_file not like '%!_12.csv' escape '!'")
+    """The sales of every archive that admission lets in; refused ones are left out as a whole."""
+    packed = _monthly_archives(w)
+    refused = archives.member_problems(archives.manifest(packed), NO_LIMITS).select(F.col("archive").alias("path")).distinct()
+    expanded = archives.expand(packed.join(refused, "path", "left_anti"), NO_LIMITS).where("schema_hint is not null")
     rows = delimited.parse_files(expanded.select("source_file", "schema_hint", "content"))
     return delimited.contract_rows(rows, "vendas").select(*fv.CONTRACT_COLUMNS["vendas"])
 
 
-@query("a06_detect_format", " union all ".join(f"select '{c}' as schema_name, 'utf-8' as encoding, ';' as delimiter, cast(null as varchar) as problem" for c in adapter.RAW))
+_ENCODINGS = {c: "utf-8-sig" if c == "consultores" else "utf-8" for c in adapter.RAW}
+
+
+@query("a06_detect_format", " union all ".join(f"select '{c}' as schema_name, '{e}' as encoding, ';' as delimiter, cast(null as varchar) as problem" for c, e in _ENCODINGS.items()))
 def _(w):
-    return delimited.inspect_files(_files(w)).select("schema_name", "encoding", "delimiter", "problem").distinct()
+    """By ranges of 64 kB: first bytes, and what all ranges say of their bytes."""
+    return _small_ranges(w).inspected.select("schema_name", "encoding", "delimiter", "problem").distinct()
 
 
 @query("a07_strict_rows", f"select {SALES} from raw_vendas")
@@ -135,9 +205,40 @@ def _(w):
 
 @query("a07_split_rows", f"select {SALES} from raw_vendas")
 def _(w):
-    name = listing.relative_to(F.col("path"), f"{_folder(w)}/vendas")
-    rows = delimited.split_lines(w.spark, f"{_folder(w)}/vendas", name, w.stage)
-    return delimited.contract_rows(rows, "vendas").select(*fv.CONTRACT_COLUMNS["vendas"])
+    return _small_ranges(w).table("vendas").select(*fv.CONTRACT_COLUMNS["vendas"])
+
+
+_QUOTED = ("loja_id", "loja", "cidade", "uf", "cluster")
+
+
+@query(
+    "a07_quoted_records",
+    """with o as (select *, row_number() over (order by o_orderkey) as n from orders)
+    select cast(o_orderkey as varchar) as loja_id, 'say "' || o_orderstatus || '"' || chr(13) || chr(10) || o_orderpriority || '; ' || chr(10) as loja,
+    cast(o_custkey as varchar) as cidade, case when o_orderkey % 2 = 0 then '' else o_orderstatus end as uf, '"' || o_orderpriority as cluster, 3 * n - 1 as linha from o""",
+)
+def _(w):
+    """All orders in one file whose quoted fields hold quotes, delimiters and line breaks, read in ranges of 64 kB.
+
+    The file is made of parts in the order of their keys, each landed as written; every record has three lines.
+    """
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    loja = F.concat(F.lit('say "'), "o_orderstatus", F.lit('"\r\n'), "o_orderpriority", F.lit("; \n"))
+    uf = F.when(F.col("o_orderkey") % 2 == 0, F.lit("")).otherwise(F.col("o_orderstatus"))
+    fields = [F.col("o_orderkey").cast("string"), quoted(loja), quoted(F.col("o_custkey").cast("string")), uf, quoted(F.concat(F.lit('"'), "o_orderpriority"))]
+    orders = w.spark.read.parquet(f"{w.sf}/orders.parquet")
+    record = orders.select("o_orderkey", F.concat_ws(";", *fields).alias("record"))
+    pieces = record.groupBy(F.floor(F.col("o_orderkey") / 400_000).alias("piece")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "record"))).alias("records"))
+    body = F.array_join(F.transform("records", lambda r: F.concat(r["record"], F.lit("\n"))), "")
+    target = f"{w.stage.folder}/quoted"
+    content = F.concat(F.lit(";".join(_QUOTED) + "\n"), body).cast("binary")
+    files = pieces.select(F.concat(F.lit("lojas "), F.format_string("%06d", "piece"), F.lit(".csv")).alias("name"), content.alias("content"))
+    raw_files.land_files(files, target).write.format("noop").mode("overwrite").save()
+    found = batch.read_batch(w.spark, target, NO_LIMITS, Staging(w.spark), 1 << 16)
+    counted = found.summary().select("source_file", "rows")
+    before = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    bases = counted.select(F.col("source_file").alias(fv.SOURCE_FILE), F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("base"))
+    return found.table("lojas").join(bases, fv.SOURCE_FILE).select(*_QUOTED, (F.col(fv.SOURCE_LINE) + 3 * F.col("base")).alias("linha"))
 
 
 @query("a07_event_rows", "select cast(event_id as varchar) as event_id, event_type, cast(user_id as varchar) as user_id from events")
@@ -209,9 +310,32 @@ def _(w):
     return named.select("__source_line", listing.schema_hint(F.col("n")).alias("schema_hint"))
 
 
-@query("a11_inspection_summary", f"select schema_name, 'utf-8' as encoding, ';' as delimiter, rows from ({_PER_CONTRACT})")
+def _header_list(contract: str) -> str:
+    return "[" + ", ".join(f"'{c}'" for c in fv.CONTRACT_COLUMNS[contract]) + "]"
+
+
+_INSPECTED = " union all ".join(
+    f"select '{c}' as schema_name, '{e}' as encoding, ';' as delimiter, array_to_string({_header_list(c)}, ',') as headers, (select count(*) from raw_{c}) as rows, (select count(*) from raw_{c}) as data_lines"
+    for c, e in _ENCODINGS.items()
+)
+
+
+@query("a11_inspection_summary", f"select *, cast(sum(rows) over () as bigint) as total_rows, true as files_add_up from ({_INSPECTED})")
 def _(w):
-    return _batch(w).summary().groupBy("schema_name", "encoding", "delimiter").agg(F.sum("rows").alias("rows"))
+    """A row a file, as bytes have it and as records have it, put together by contract, beside the grand totals.
+
+    The files' data lines are counted by the pass over bytes, not by the parser; no raw value here holds a line break.
+    """
+    found = _batch(w)
+    lines = listing.binary_files(w.spark, f"{w.stage.folder}/written").select(F.regexp_extract("path", r"written/([a-z]+)/", 1).alias("schema_name"), F.regexp_count(F.col("content").cast("string"), F.lit("\n")).alias("n"))
+    lines = lines.groupBy("schema_name").agg((F.sum("n") - F.count(F.lit(1))).alias("data_lines"))
+    by_contract = found.summary().groupBy("schema_name", "encoding", "delimiter", F.array_join("headers", ",").alias("headers")).agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files")
+    )
+    totals = found.totals()
+    joined = by_contract.join(lines, "schema_name").crossJoin(totals)  # one row of totals
+    per_file = _listing(w).where("kind = 'file'").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return joined.select("schema_name", "encoding", "delimiter", "headers", "rows", "data_lines", "total_rows", (F.col("total_files") == per_file).alias("files_add_up"))
 
 
 @query("a12_source_order", "select __source_file, __source_line, venda_id from vendas order by lower(__source_file), __source_file, __source_line")
@@ -219,18 +343,34 @@ def _(w):
     return w.clean("vendas").orderBy(*keys.source_order()).select("__source_file", "__source_line", "venda_id")
 
 
-@query("a13_pick_batch", "select true as picked where (select count(*) from lineitem) > 0")
+_NEWEST = f"(select max(m) from ({_MONTHS}) where m not like '%12')"
+_NAMED = f"(select min(m) from ({_MONTHS}))"
+_PICKED = "select count(*) as linhas from raw_vendas where __source_file = 'vendas_' || "
+
+
+@query(
+    "a13_pick_batch",
+    " union all ".join(
+        f"select '{how}' as escolha, 'vendas_' || {m} || '_1.zip' as arquivo, linhas from ({_PICKED}{m} || '.csv')"
+        for how, m in (("newest", _NEWEST), ("named", _NAMED))
+    ),
+)
 def _(w):
-    """The monthly archives land in a folder one after another; the newest is picked."""
-    target = f"{w.stage.folder}/incoming"
-    rows = w.raw("vendas").select(F.concat_ws(";", *fv.CONTRACT_COLUMNS["vendas"]).alias("value"))
-    rows.write.mode("overwrite").text(target)
-    found = (
-        w.spark.read.format("binaryFile").load(target).select("path", "length", "modificationTime")
-        .withColumn("name", listing.base_name(F.col("path")))
-    )
-    newest = found.agg(F.max("modificationTime").alias("t")).scalar()
-    return listing.pick_batch(found).select((F.col("modificationTime") == newest).alias("picked"))
+    """Archives lie in the folder of deliveries; the newest and a named one are picked and read.
+
+    Landing order is no order of time, so each archive's time is taken from its month; December's are refused.
+    """
+    found = listing.find_batches(w.spark, _incoming(w))
+    month = F.regexp_extract("name", r"([0-9]{4}_[0-9]{2})", 1)
+    dated = found.withColumn("modified", F.to_timestamp(month, "yyyy_MM")).where(~month.endswith("12"))
+    first = found.agg(F.min("name")).collect()[0][0]
+    picked = listing.pick_batch(dated).select(F.lit("newest").alias("escolha"), "path", "name")
+    picked = picked.unionByName(listing.pick_batch(found, first).select(F.lit("named").alias("escolha"), "path", "name"))
+    content = listing.binary_files(w.spark, _incoming(w)).withColumn("name", listing.base_name(F.col("path")))
+    expanded = archives.expand(content.join(picked.select("name"), "name", "left_semi").select("path", "content"), NO_LIMITS)
+    files = expanded.where("schema_hint is not null").select(F.concat_ws("/", listing.base_name(F.col("archive")), "source_file").alias("source_file"), "schema_hint", "content")
+    rows = delimited.contract_rows(delimited.parse_files(files), "vendas").groupBy(F.split(fv.SOURCE_FILE, "/")[0].alias("name")).agg(F.count(F.lit(1)).alias("linhas"))
+    return picked.join(rows, "name").select("escolha", F.col("name").alias("arquivo"), "linhas")
 
 
 def _layer(w) -> published.Layer:
@@ -344,7 +484,7 @@ def _(w):
 @query("b10_run_summary", "select (select count(*) from raw_vendas) as recebidos, (select count(*) from fact) as validos, (select count(*) from rejected) as rejeitados")
 def _(w):
     layer = _layer(w)
-    files = listing.list_files(w.spark, _folder(w))
+    files = _listing(w).where("kind = 'file'")
     return run.summarise(w.spark, w.out, layer.version, files).select("recebidos", "validos", "rejeitados")
 
 

@@ -178,10 +178,18 @@ def _(w):
     return w.fact.select(*ROW, dates.month_of(F.col("data_venda")).alias("mes"))
 
 
-@query("c19_safe_ratio", f"select {AT}, cast(case when valor_venda = 0 then null else {o.weighted('valor_venda', 'nullif(valor_venda, 0)')} end as decimal(9,4)) as percentual from vendas where valor_venda >= 0")
+_SIZE = "cast({} * 100 as hugeint)"
+_RATIO = (
+    "case when valor_referencia <> 0 then cast(cast(sign(valor_venda) * sign(valor_referencia) as hugeint) * "
+    f"((2 * abs({_SIZE.format('valor_venda')}) * 1000000 + abs({_SIZE.format('valor_referencia')})) // (2 * abs({_SIZE.format('valor_referencia')}))) as decimal(38,0)) * cast(0.0001 as decimal(10,4)) end"
+)
+
+
+@query("c19_safe_ratio", f"select {AT}, cast({_RATIO} as decimal(28,4)) as percentual from vendas")
 def _(w):
-    v = F.col("valor_venda")
-    return w.clean("vendas").where(v >= 0).select(*ROW, numbers.weighted_percent(v, v).alias("percentual"))
+    """Sold against reference, all rows: signs, zeros and missing references as they come."""
+    ratio = numbers.safe_ratio(F.col("valor_venda").cast(numbers.SUM), F.col("valor_referencia").cast(numbers.SUM))
+    return w.clean("vendas").select(*ROW, (ratio * 100).cast("decimal(28,4)").alias("percentual"))
 
 
 _ODD = "case when event_id % 7 = 0 then cast('nan' as double) when event_id % 11 = 0 then cast('infinity' as double) when event_id % 13 = 0 then cast('-infinity' as double) when event_id % 17 = 0 then cast('-0.0' as double) when event_id % 3 = 0 then -value * 1000 else value end"

@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 SHARED_FOLDER = "spark.checkpoint.dir"
 
 
@@ -35,6 +37,7 @@ class Staging:
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
         self.spark = spark
         self.folder = folder or new_folder(spark, "staging")
+        ship(spark)
 
     def __call__(self, name: str, df: DataFrame) -> DataFrame:
         target = f"{self.folder}/{name}"

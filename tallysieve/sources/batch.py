@@ -14,7 +14,7 @@ from ..contracts import CONTRACTS
 from ..errors import ArchiveError, DelimitedError, IngestionError, InputError
 from ..plans.evaluate import Stage
 from ..sinks.staging import Staging
-from . import archives, delimited, listing
+from . import archives, delimited, listing, ranges, stores
 
 SHOWN_PROBLEMS = 20
 
@@ -39,25 +39,29 @@ def combine(frames: Sequence[DataFrame], contract: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Batch:
-    """Parsed input. `parsed` holds every record with file, contract and line."""
+    """Parsed input. `parsed` holds every record with file, contract and line, `inspected` a row for each file."""
 
     parsed: DataFrame
+    inspected: DataFrame
 
     def table(self, contract: str) -> DataFrame:
         return delimited.contract_rows(self.parsed, contract)
 
     def tables(self) -> dict[str, DataFrame]:
         """All contracts; a batch that lacks one cannot be built."""
-        names = self.parsed.where("problem is null and line = 1").select("schema_name").distinct()
+        names = self.inspected.where("problem is null").select("schema_name").distinct()
         present = {row[0] for row in names.collect()}  # one row per contract
         return {c: combine([self.table(c)] if c in present else [], c) for c in CONTRACTS}
 
     def summary(self) -> DataFrame:
-        """Contract, format and number of rows of each file."""
+        """Contract, format, header and number of rows of each file."""
+        counted = self.parsed.where("problem is null and line > 1").groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
         return (
-            self.parsed.where("problem is null")
-            .groupBy("source_file", "schema_name", "encoding", "delimiter")
-            .agg(F.count_if(F.col("line") > 1).alias("rows"))
+            self.inspected.where("problem is null").join(counted, "source_file", "left")
+            .select(
+                "source_file", "schema_name", "encoding", "delimiter", F.col("fields").alias("headers"),
+                F.coalesce("rows", F.lit(0)).alias("rows"),
+            )
             .orderBy(F.lower("source_file"), "source_file")
         )
 
@@ -72,22 +76,31 @@ def read_batch(
     path: str,
     limits: listing.Limits = listing.UNLIMITED,
     stage: Stage | None = None,
-    split_above: int | None = None,
+    range_bytes: int = ranges.RANGE_BYTES,
 ) -> Batch:
     """Validate and read one input. Every refused file refuses the whole batch.
 
-    The parse runs once: its rows are written to the shared folder, by contract, and read from there.
-    Files above `split_above` bytes are read in splits; they must not hold quoted text.
+    The parse runs once: its rows are written to the shared folder and read from there. Files of a folder are read in
+    ranges of `range_bytes`; members of an archive, and files of stores that only Spark opens, are one unit each.
     """
     keep = stage or Staging(spark)
     suffix = path.rstrip("/").rsplit("/", 1)[-1].lower()
     if suffix.endswith(".zip"):
-        parts = [delimited.parse_files(_archive_files(spark, path, limits, keep))]
+        inspected, parsed = _whole_files(_archive_files(spark, path, limits, keep), keep)
+    elif stores.opens(path):
+        files = _admitted(spark, path, limits, keep)
+        inspected, parsed = ranges.read_ranged(files, keep, size=range_bytes)
     else:
-        parts = _folder_parts(spark, path, limits, keep, split_above)
-    parsed = keep("parsed", reduce(DataFrame.unionByName, parts))
+        _admitted(spark, path, limits, keep)
+        inspected, parsed = _whole_files(_spark_files(spark, path), keep)
+    parsed = keep("parsed", parsed)
     _refuse(parsed.where("problem is not null").select("source_file", "problem"), DelimitedError)
-    return Batch(parsed)
+    return Batch(parsed, inspected)
+
+
+def _whole_files(files: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    inspected = stage("inspected", delimited.inspect_files(files).drop("content"))
+    return inspected, delimited.parse_files(files)
 
 
 def _archive_files(spark: SparkSession, path: str, limits: listing.Limits, stage: Stage) -> DataFrame:
@@ -101,24 +114,18 @@ def _archive_files(spark: SparkSession, path: str, limits: listing.Limits, stage
     return expanded.select("source_file", "schema_hint", "content")
 
 
-def _folder_parts(
-    spark: SparkSession, path: str, limits: listing.Limits, stage: Stage, split_above: int | None
-) -> list[DataFrame]:
+def _admitted(spark: SparkSession, path: str, limits: listing.Limits, stage: Stage) -> DataFrame:
+    """The files to read, after all that is there was found fit."""
     try:
-        files = listing.list_files(spark, path)
+        found = stage("listing", listing.list_files(spark, path, stage))
     except AnalysisException as error:
         raise InputError(f"no such input: {path}") from error
-    _refuse(listing.listing_problems(files, limits), InputError)
+    _refuse(listing.listing_problems(found, limits), InputError)
+    return found.where((F.col("kind") == stores.FILE) & ~F.col("skipped"))
+
+
+def _spark_files(spark: SparkSession, path: str) -> DataFrame:
     name = listing.relative_to(F.col("path"), path)
-    small = listing.binary_files(spark, path)
-    if split_above is not None:
-        small = small.where(F.col("length") <= split_above)
-    content = small.withColumn("source_file", name).where(~listing.is_skipped(F.col("source_file")))
+    content = listing.binary_files(spark, path).withColumn("source_file", name).where(~listing.is_skipped(F.col("source_file")))
     hinted = content.withColumn("schema_hint", listing.schema_hint(listing.base_name(F.col("source_file"))))
-    parts = [delimited.parse_files(hinted.select("source_file", "schema_hint", "content"))]
-    if split_above is not None:
-        large = files.where((F.col("length") > split_above) & ~F.col("skipped")).select("path")
-        paths = [row[0] for row in large.collect()]  # file names, as many as Spark's own index holds
-        if paths:
-            parts.append(delimited.split_lines(spark, paths, listing.relative_to(F.col("path"), path), stage))
-    return parts
+    return hinted.select("source_file", "schema_hint", "content")

@@ -7,12 +7,11 @@ import io
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..contracts import CONTRACTS, Contract, contract_table
-from ..plans.evaluate import Stage
 
 CHUNK_ROWS = 20_000
 PARSED = (
@@ -22,14 +21,13 @@ PARSED = (
 
 
 # --- format ------------------------------------------------------------------------------------------
-def encoding_of(content: Column) -> Column:
-    """`utf-8` or `utf-8-sig`; NULL for a refused byte order mark or bytes that are not UTF-8."""
-    head = F.hex(F.substring(content, 1, 4))
+def encoding_of(head: Column, valid: Column) -> Column:
+    """`utf-8` or `utf-8-sig` by the first bytes; NULL for a refused byte order mark or bytes that are not UTF-8."""
+    start = F.hex(F.substring(head, 1, 4))
     refused = F.lit(False)
     for bom in fv.REFUSED_BOM_HEX:
-        refused = refused | head.startswith(bom)
-    valid = F.is_valid_utf8(content.cast("string"))
-    name = F.when(head.startswith(fv.UTF8_BOM_HEX), "utf-8-sig").otherwise("utf-8")
+        refused = refused | start.startswith(bom)
+    name = F.when(start.startswith(fv.UTF8_BOM_HEX), "utf-8-sig").otherwise("utf-8")
     return F.when(valid & ~refused, name)
 
 
@@ -92,24 +90,38 @@ def resolve_headers(headers: DataFrame, contracts: dict[str, Contract] | None =
     ).drop("hinted", "matched")
 
 
-def inspect_files(files: DataFrame, contracts: dict[str, Contract] | None = None) -> DataFrame:
-    """Format and contract of each file of (source_file, schema_hint, content); `problem` is NULL if sound."""
-    content = F.col("content")
+def inspect_heads(files: DataFrame, contracts: dict[str, Contract] | None = None) -> DataFrame:
+    """Format and contract of each file of (source_file, schema_hint, length, head, valid, binary, ...).
+
+    `head` has the first line at least, or is NULL where none was found; `valid` and `binary` speak of all bytes.
+    Adds encoding, delimiter, fields, schema_name and `problem`, which is NULL if the file is sound.
+    """
     formed = (
-        files.withColumns({"encoding": encoding_of(content), "__header": header_line(content)})
+        files.withColumns({"encoding": encoding_of(F.col("head"), F.col("valid")), "__header": header_line(F.col("head"))})
         .withColumn("delimiter", delimiter_of(F.col("__header")))
         .withColumn("fields", header_fields(F.col("__header")))
     )
     resolved = resolve_headers(formed, contracts)
     problem = (
-        F.when(F.length(content) == 0, "empty file")
-        .when(F.col("encoding").isNull(), "not UTF-8")
-        .when(F.contains(content.cast("string"), F.lit("\u0000")), "binary content")
+        F.when(F.col("length") == 0, "empty file")
+        .when(F.col("encoding").isNull(), F.when(F.col("head").isNull(), "no header line found").otherwise("not UTF-8"))
+        .when(F.col("binary"), "binary content")
         .when(F.col("delimiter").isNull(), "no delimiter found")
         .when(F.col("delimiter") != fv.DELIMITER, F.concat(F.lit("wrong delimiter: "), F.col("delimiter")))
         .otherwise(F.col("header_problem"))
     )
-    return resolved.withColumn("problem", problem).drop("__header", "header_problem")
+    return resolved.withColumn("problem", problem).drop("__header", "header_problem", "head", "valid", "binary")
+
+
+def inspect_files(files: DataFrame, contracts: dict[str, Contract] | None = None) -> DataFrame:
+    """The same for files held whole, (source_file, schema_hint, content)."""
+    content = F.col("content")
+    text = content.cast("string")
+    about = {
+        "length": F.length(content), "head": content, "valid": F.is_valid_utf8(text),
+        "binary": F.contains(text, F.lit("\u0000")),
+    }
+    return inspect_heads(files.withColumns(about), contracts)
 
 
 # --- strict reader -----------------------------------------------------------------------------------
@@ -155,8 +167,7 @@ def _parser(delimiter: str, chunk_rows: int):
 def parse_files(files: DataFrame, contracts: dict[str, Contract] | None = None) -> DataFrame:
     """Rows of every file, header included as line 1; a refused file gives one row with its problem.
 
-    A quoted field may span lines, so one file is one unit of work; files are read in parallel. Files
-    too large for that go through `split_lines`.
+    One file is one unit of work, as members of archives are; what lies in a folder is read by `ranges.read_ranged`.
     """
     inspected = inspect_files(files, contracts).select(
         "source_file", "schema_name", "encoding", "delimiter", "problem",
@@ -165,60 +176,6 @@ def parse_files(files: DataFrame, contracts: dict[str, Contract] | None = None)
     return inspected.mapInPandas(_parser(fv.DELIMITER, CHUNK_ROWS), PARSED)
 
 
-# --- splittable reader -------------------------------------------------------------------------------
-def split_lines(spark: SparkSession, path: str, source_file: Column, stage: Stage) -> DataFrame:
-    """Rows of large files whose records are single unquoted lines, in the same shape as `parse_files`.
-
-    Each file is read in splits by many tasks. A line's number is its place in the split plus the lines
-    of all earlier splits of the file; only the per-split counts are summed up in order. The lines are
-    staged first, so that places and counts come from one and the same read.
-    """
-    read = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"),
-        "value",
-    )
-    lines = stage("lines", read)
-    splits = lines.groupBy("path", "start").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    bases = splits.select(
-        "path", "start", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")
-    )
-    numbered = lines.join(bases, ["path", "start"]).withColumn(
-        "line", F.col("base") + F.col("place") - F.col("first") + 1
-    )
-    bom = (F.col("line") == 1) & F.col("value").startswith("\ufeff")
-    text = F.when(F.col("line") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value"))
-    headers = (
-        numbered.where(F.col("line") == 1)
-        .select("path", bom.alias("marked"), text.alias("header"))
-        .withColumn("source_file", source_file)
-        .withColumn("fields", header_fields(F.col("header")))
-    )
-    from .listing import base_name, schema_hint
-
-    known = resolve_headers(headers.withColumn("schema_hint", schema_hint(base_name(F.col("source_file"))))).select(
-        "path", "source_file", "schema_name",
-        F.when(F.col("marked"), "utf-8-sig").otherwise("utf-8").alias("encoding"),
-        delimiter_of(F.col("header")).alias("delimiter"), "header_problem", F.size("fields").alias("width"),
-    )
-    fields = F.split(F.col("text"), fv.DELIMITER, -1)
-    where = F.concat(F.lit("line "), F.col("line").cast("string"), F.lit(": "))
-    problem = (
-        F.when(F.col("line") == 1, F.col("header_problem"))
-        .when(~F.is_valid_utf8(F.col("text")), F.concat(where, F.lit("not UTF-8")))
-        .when(F.contains(F.col("text"), F.lit("\u0000")), F.concat(where, F.lit("binary content")))
-        .when(F.contains(F.col("text"), F.lit('"')), F.concat(where, F.lit("quoted text needs the strict reader")))
-        .when(F.size(fields) != F.col("width"), F.concat(where, F.lit("wrong number of fields")))
-    )
-    return (
-        numbered.withColumn("text", text)
-        .join(known, "path")
-        .select("source_file", "schema_name", "encoding", "delimiter", "line", fields.alias("fields"), problem.alias("problem"))
-    )
-
-
 def contract_rows(parsed: DataFrame, contract: str) -> DataFrame:
     """Typed-as-text rows of one contract with their provenance."""
     columns = CONTRACTS[contract].columns

@@ -1,6 +1,8 @@
 """File listings and admission: what is there, what may be read, and why not.
 
-Only file metadata is read. Spark's own file index holds the listing on the driver; here it is a table.
+Only file metadata is read. A listing is a table with a row for each file, folder or link below the root, made by tasks.
+Stores that tasks cannot open are listed by Spark's own file index, which holds all names on the driver and leaves out
+hidden ones and folders without files.
 """
 
 from __future__ import annotations
@@ -12,6 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from ..plans.evaluate import Stage
+from ..sinks.staging import Staging
+from . import stores
 
 
 @dataclass(frozen=True)
@@ -68,77 +73,81 @@ def is_skipped(source_file: Column) -> Column:
     return (base_name(source_file) == fv.PLACEHOLDER_NAME) | (F.lower(source_file) == fv.README_NAME.lower())
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file below `root`: where it is, how big, what it should hold, whether it is skipped."""
+def _described(found: DataFrame) -> DataFrame:
+    name = F.col("source_file")
+    is_file = F.col("kind") == stores.FILE
+    return found.withColumns({
+        "schema_hint": F.when(is_file, schema_hint(base_name(name))), "skipped": is_file & is_skipped(name),
+    })
+
+
+def list_files(spark: SparkSession, root: str, stage: Stage | None = None) -> DataFrame:
+    """What is below `root`: path, source_file, kind, length, modified, schema_hint, skipped."""
+    if not stores.opens(root):
+        return _described(_indexed(spark, root))
+    found = stores.walk(spark, root, stage or Staging(spark))
+    return _described(found.withColumn("modified", F.timestamp_micros(F.floor(F.col("modified_ns") / 1000))).drop("modified_ns"))
+
+
+def _indexed(spark: SparkSession, root: str) -> DataFrame:
+    """The same from Spark's file index."""
     files = binary_files(spark, root)
     # A scan leaves empty files out; the file index, which the driver holds anyway, still names them.
     names = spark.createDataFrame([(unquote(n),) for n in files.inputFiles()], "name string")
     key = lambda c: F.regexp_replace(c, r"^(\w+:)/+", "$1/")
     scanned = files.select("path", "length", "modificationTime").withColumn("key", key(F.col("path")))
     joined = names.withColumn("key", key(F.col("name"))).join(scanned, "key", "left")
-    filled = joined.select(
-        F.coalesce("path", "name").alias("path"),
-        F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
-        "modificationTime",
-    )
-    named = filled.withColumn("source_file", relative_to(F.col("path"), root))
-    return named.withColumns(
-        {
-            "schema_hint": schema_hint(base_name(F.col("source_file"))),
-            "skipped": is_skipped(F.col("source_file")),
-        }
-    )
+    found = joined.select(
+        F.coalesce("path", "name").alias("path"), F.coalesce("length", F.lit(0)).cast("bigint").alias("length"),
+        F.col("modificationTime").alias("modified"),
+    ).withColumns({"source_file": relative_to(F.col("path"), root), "kind": F.lit(stores.FILE)})
+    parts = F.split("source_file", "/")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    folders = found.where(F.size(parts) > 1).select(F.explode(prefixes).alias("source_file")).distinct()
+    return found.unionByName(folders.withColumn("kind", F.lit(stores.FOLDER)), allowMissingColumns=True)
 
 
 def listing_problems(listing: DataFrame, limits: Limits = UNLIMITED) -> DataFrame:
-    """(source_file, problem): unexpected files, empty or oversized ones, and broken totals."""
-    name, size = F.col("source_file"), F.col("length")
-    per_file = listing.where(~F.col("skipped")).select(
-        name,
-        F.when(~F.lower(name).endswith(".csv"), "unexpected file")
+    """(source_file, problem): links, unexpected, empty or oversized files, and broken totals."""
+    name, size, kind = F.lower("source_file"), F.col("length"), F.col("kind")
+    is_file = kind == stores.FILE
+    per_entry = listing.where((kind != stores.FOLDER) & ~F.col("skipped")).select(
+        "source_file",
+        F.when(kind == stores.LINK, "link")
+        .when(~is_file, "not a regular file")
+        .when(~name.endswith(".csv") | (base_name(name) == ".csv"), "unexpected file")
         .when(size == 0, "empty file")
         .when(over(size, limits.file_bytes), "file over the size limit")
         .alias("problem"),
     )
-    # Folders count as entries too: every distinct folder prefix of a path is one.
-    parts = F.split(name, "/")
-    folders = F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), "/")
-    )
-    below = listing.where(F.size(parts) > 1).select(F.explode(folders).alias("folder")).distinct()
     totals = (
         listing.agg(
-            F.count(F.lit(1)).alias("files"),
-            F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-            F.count_if(~F.col("skipped")).alias("accepted"),
+            F.count(F.lit(1)).alias("entries"),
+            F.coalesce(F.sum(F.when(is_file, size)), F.lit(0)).alias("bytes"),
+            F.count_if(is_file & ~F.col("skipped")).alias("accepted"),
         )
-        .withColumn("folders", below.agg(F.count(F.lit(1)).alias("n")).scalar())
         .select(
             F.lit("").alias("source_file"),
             F.explode(
                 F.array(
-                    F.when(over(F.col("files") + F.col("folders"), limits.entries), "too many entries"),
+                    F.when(over(F.col("entries"), limits.entries), "too many entries"),
                     F.when(over(F.col("bytes"), limits.total_bytes), "input over the total size limit"),
                     F.when(F.col("accepted") == 0, "no delimited file found"),
                 )
             ).alias("problem"),
         )
     )
-    return per_file.unionByName(totals).where("problem is not null")
+    return per_entry.unionByName(totals).where("problem is not null")
 
 
-def find_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Archives in a folder, newest first."""
-    found = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(folder)
-        .select("path", "length", "modificationTime")
-    )
-    return found.withColumn("name", base_name(F.col("path"))).orderBy(
-        F.desc("modificationTime"), F.asc("name")
-    )
+def find_batches(spark: SparkSession, folder: str, stage: Stage | None = None) -> DataFrame:
+    """Archives in a folder, newest first, equal times by name."""
+    found = list_files(spark, folder, stage).where((F.col("kind") == stores.FILE) & ~F.contains("source_file", F.lit("/")))
+    archives = found.where(F.lower("source_file").endswith(".zip"))
+    return archives.select("path", F.col("source_file").alias("name"), "length", "modified").orderBy(F.desc("modified"), F.asc("name"))
 
 
 def pick_batch(batches: DataFrame, name: str | None = None) -> DataFrame:
     """The archive of that name, or the newest one."""
     chosen = batches if name is None else batches.where(F.col("name") == name)
-    return chosen.orderBy(F.desc("modificationTime"), F.asc("name")).limit(1)
+    return chosen.orderBy(F.desc("modified"), F.asc("name")).limit(1)

@@ -1,15 +1,18 @@
-import io
 import os
+import random
+import re
 import stat
 import zipfile
 
 import pytest
 from conftest import CARS, PEOPLE, SALE, STORES
+from pyspark.sql import functions as F
 from tallysieve import fixed_values as fv
 from tallysieve.errors import ArchiveError, DelimitedError, InputError
 from tallysieve.plans.run import run_batch
-from tallysieve.sinks import exports
-from tallysieve.sources import archives, delimited, listing, published
+from tallysieve.sinks import exports, raw_files
+from tallysieve.sinks.staging import Staging
+from tallysieve.sources import archives, delimited, listing, published, ranges, stores
 from tallysieve.sources.batch import read_batch
 
 
@@ -112,24 +115,127 @@ def test_unexpected_empty_and_oversized_files(spark, tmp_path):
             read_batch(spark, folder, limits)
 
 
-def test_splittable_reader_numbers_lines_like_the_strict_one(spark, tmp_path):
-    rows = [(f"L{i}", "loja" * 3, "cidade", "AM", "A") for i in range(5000)]
-    folder = write_folder(tmp_path / "in", {"dim_lojas.csv": text_of("lojas", rows), "b/dim_lojas.csv": text_of("lojas", STORES)})
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    try:
-        split = read_batch(spark, folder, listing.UNLIMITED, split_above=1000).table("lojas")
-        strict = read_batch(spark, folder, listing.UNLIMITED).table("lojas")
-        assert split.exceptAll(strict).isEmpty() and strict.exceptAll(split).isEmpty()
-        assert split.count() == 5002
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-def test_splittable_reader_refuses_quotes_and_widths(spark, tmp_path):
-    for bad in ('L1;"a";x;AM;A', "L1;a;x;AM"):
-        folder = write_folder(tmp_path / str(len(bad)), {"dim_lojas.csv": HEADER + "\n" + bad + "\n"})
-        with pytest.raises(DelimitedError, match="line 2"):
-            read_batch(spark, folder, listing.UNLIMITED, split_above=1)
+def whole_rows(spark, root):
+    """Rows of all files as one strict reader per file gives them."""
+    rows = [(p.relative_to(root).as_posix(), None, p.read_bytes()) for p in sorted(root.rglob("*.csv"))]
+    files = spark.createDataFrame(rows, "source_file string, schema_hint string, content binary")
+    return sorted((r["source_file"], r["line"], r["fields"], r["encoding"], r["problem"]) for r in delimited.parse_files(files).collect())
+
+
+def ranged_rows(spark, root, size, stage):
+    files = listing.list_files(spark, str(root), stage).where("kind = 'file'").withColumn("schema_hint", F.lit(None).cast("string"))
+    _, parsed = ranges.read_ranged(files, stage, size=size)
+    return sorted((r["source_file"], r["line"], r["fields"], r["encoding"], r["problem"]) for r in parsed.collect())
+
+
+ODD = ["", "plain", 'a"b', '"', '""', ";", "x\ny", "\n", "\r\n", "\r", "é中😀", '";"', 'say ""hi""\r\n;', " ", '"""', "z" * 90]
+
+
+@pytest.mark.parametrize("size", [1, 17, 400])
+def test_ranges_give_the_rows_of_whole_files(spark, tmp_path, monkeypatch, size):
+    """Quotes, line breaks and characters across every border, in names with blanks."""
+    monkeypatch.setattr(ranges, "MAX_TASKS", 4)
+    rng = random.Random(size)
+    root = tmp_path / "in put"
+    (root / "b c").mkdir(parents=True)
+    for number, name in enumerate(("uma loja.csv", "b c/minha%20loja.csv", "b c/_x.csv")):
+        text = [";".join(fv.CONTRACT_COLUMNS["lojas"])]
+        for _ in range(25 if size == 1 else 250):
+            fields = [rng.choice(ODD) for _ in range(5)]
+            quoted = [f'"{f.replace(chr(34), chr(34) * 2)}"' if set(f) & set(';"\r\n') or rng.random() < 0.2 else f for f in fields]
+            text.append(";".join(quoted))
+        ends = rng.choice(["\n", "\r\n", "\r"])
+        content = ("\ufeff" if number == 1 else "") + ends.join(text) + (ends if number else "")
+        (root / name).write_bytes(content.encode())
+    found = ranged_rows(spark, root, size, Staging(spark))
+    assert found == whole_rows(spark, root)
+    assert len({f[0] for f in found}) == 3 and all(f[4] is None for f in found)
+
+
+def test_one_field_over_many_ranges(spark, tmp_path):
+    root = tmp_path / "in"
+    long = "L1;\"" + "line\n" * 20_000 + "\";x;AM;A\nL2;b;x;AM;A\n"
+    write_folder(root, {"dim_lojas.csv": HEADER + "\n" + long, "quotes.csv": HEADER + "\nL1;" + '"' * 20_000 + ";x;AM;A\n"})
+    assert ranged_rows(spark, root, 9000, Staging(spark)) == whole_rows(spark, root)
+
+
+def test_many_tasks_read_one_file(spark, tmp_path):
+    rows = [(f"L{i}", '"loja\n;"', "cidade", "AM", "A") for i in range(5000)]
+    folder = write_folder(tmp_path / "in", {"dim_lojas.csv": text_of("lojas", rows)})
+    table = read_batch(spark, folder, range_bytes=10_000).table("lojas")
+    assert table.select(F.min("__source_line"), F.max("__source_line"), F.count("*")).collect()[0] == (2, 10_000, 5000)
+    assert table.where("loja <> 'loja\n;'").count() == 0
+    files = listing.list_files(spark, folder).where("kind = 'file'")
+    assert ranges.byte_ranges(files, 10_000).count() > 10
+
+
+def test_first_problem_of_a_ranged_file(spark, tmp_path):
+    for case, bad in {"line 2: 4 fields": "L1;a;x;AM\n", 'line 3: .*expected after': 'L0;a;x;AM;A\nL1;"a"b;x;AM;A\n', "unexpected end": 'L1;"a;x;AM;A\n' * 3}.items():
+        folder = write_folder(tmp_path / str(len(bad)), {"dim_lojas.csv": HEADER + "\n" + bad})
+        with pytest.raises(DelimitedError, match=case):
+            read_batch(spark, folder, range_bytes=16)
+
+
+def test_bytes_are_checked_across_borders(spark, tmp_path):
+    for case, content in {"not UTF-8": b"L1;" + b"\xe4\xb8\xad" * 20 + b"\xb8;x;AM;A\n", "binary content": b"L1;" + b"a" * 50 + b"\0;x;AM;A\n"}.items():
+        folder = write_folder(tmp_path / case[:3], {"dim_lojas.csv": HEADER.encode() + b"\n" + content})
+        with pytest.raises(DelimitedError, match=case):
+            read_batch(spark, folder, range_bytes=7)
+    sound = write_folder(tmp_path / "sound", {"dim_lojas.csv": HEADER + "\nL1;" + "中é😀" * 20 + ";x;AM;A\n"})
+    assert read_batch(spark, sound, range_bytes=7).table("lojas").collect()[0]["loja"] == "中é😀" * 20
+    with pytest.raises(DelimitedError, match="no header line"):
+        read_batch(spark, write_folder(tmp_path / "long", {"dim_lojas.csv": "x;" * ranges.HEADER_BYTES}))
+
+
+def test_hidden_names_empty_folders_and_links(spark, tmp_path):
+    folder = tmp_path / "in"
+    write_folder(folder, {"_extra.csv": text_of("lojas", STORES), ".hidden.csv": text_of("lojas", STORES), "README.md": "x", "a/.gitkeep": ""})
+    (folder / "empty" / "within").mkdir(parents=True)
+    found = {r["source_file"]: (r["kind"], r["skipped"]) for r in listing.list_files(spark, str(folder)).collect()}
+    assert found == {
+        "_extra.csv": ("file", False), ".hidden.csv": ("file", False), "README.md": ("file", True), "a": ("folder", False),
+        "a/.gitkeep": ("file", True), "empty": ("folder", False), "empty/within": ("folder", False),
+    }
+    assert read_batch(spark, str(folder)).table("lojas").count() == 4
+    with pytest.raises(InputError, match="too many entries"):
+        read_batch(spark, str(folder), listing.Limits(entries=6))
+    for name in (".bad.exe", ".csv", "_SUCCESS"):
+        (folder / name).write_text("x")
+        with pytest.raises(InputError, match=f"{re.escape(name)}: unexpected file"):
+            read_batch(spark, str(folder))
+        (folder / name).unlink()
+    (folder / "to").symlink_to(folder / "empty")
+    with pytest.raises(InputError, match="to: link"):
+        read_batch(spark, str(folder))
+    with pytest.raises(InputError, match="no delimited file"):
+        read_batch(spark, str(folder / "empty"))
+
+
+def test_spark_only_stores_are_read_whole(spark, tmp_path, monkeypatch):
+    """Where tasks cannot open files, Spark's file source reads the same rows."""
+    folder = write_folder(tmp_path / "in", {"x/dim_lojas.csv": text_of("lojas", STORES), "README.md": "x"})
+    ours = read_batch(spark, folder).table("lojas").collect()
+    monkeypatch.setattr(stores, "opens", lambda path: False)
+    assert read_batch(spark, folder).table("lojas").collect() == ours
+    assert {(r["source_file"], r["kind"]) for r in listing.list_files(spark, folder).collect()} == {("x", "folder"), ("x/dim_lojas.csv", "file"), ("README.md", "file")}
+    with pytest.raises(InputError, match="no such input"):
+        read_batch(spark, str(tmp_path / "none"))
+
+
+def test_summary_has_headers_and_totals(spark, tmp_path):
+    folder = write_folder(tmp_path / "in", {"dim_lojas.csv": "\ufeff" + text_of("lojas", STORES), "b.csv": text_of("lojas", [])})
+    batch = read_batch(spark, folder)
+    header = list(fv.CONTRACT_COLUMNS["lojas"])
+    assert [tuple(r) for r in batch.summary().collect()] == [
+        ("b.csv", "lojas", "utf-8", ";", header, 0), ("dim_lojas.csv", "lojas", "utf-8-sig", ";", header, 2),
+    ]
+    assert tuple(batch.totals().collect()[0]) == (2, 2)
+
+
+def test_landed_files_have_their_names_and_nothing_beside(spark, tmp_path):
+    files = spark.createDataFrame([("a b/_x.csv", bytearray(b"1")), ("é.zip", bytearray(b""))], "name string, content binary")
+    assert {tuple(r) for r in raw_files.land_files(files, str(tmp_path / "out")).collect()} == {("a b/_x.csv", 1), ("é.zip", 0)}
+    assert {p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*")} == {"a b", "a b/_x.csv", "é.zip"}
 
 
 BAD_MEMBERS = {
