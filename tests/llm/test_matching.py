@@ -107,9 +107,9 @@ def copies(vocabulary, odd_rows):
     return rows + odd_rows
 
 
-@pytest.mark.parametrize("leaders", [1, 16])
-def test_classes_match_brute_force(frame, copies, leaders, monkeypatch):
-    monkeypatch.setattr(neardup, "LEADERS", leaders)
+@pytest.mark.parametrize("block", [300, neardup.BLOCK_SHINGLES])
+def test_classes_match_brute_force(frame, copies, block, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", block)
     out = neardup.classes(frame(copies)).collect()
     want = brute_classes(copies)
     assert Counter((r["doc_id"], r["class_id"]) for r in out) == Counter((d, want.get(d)) for d, *_ in copies)
@@ -124,6 +124,47 @@ def test_deduplicated_keeps_one_of_each_class(frame, copies):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({d: 1 for d, c in want.items() if d == c} | {None: 2})
 
 
+def test_a_large_group_below_and_around_the_threshold(frame, vocabulary, monkeypatch):
+    """Edits of one text, most pairs at 0.6 to 0.9: every link counts, and pairs never become rows."""
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 4000)
+    rng = random.Random(21)
+    base = make_text(rng, 120, vocabulary).split()
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for _ in range(rng.choice([1, 3, 4, 5])):
+            words[rng.randrange(120)] = f"new{rng.randrange(10_000)}"
+        rows.append((rng.randrange(10**6) * 1000 + k, " ".join(words)))
+    out = {r["doc_id"]: r["class_id"] for r in neardup.classes(frame(rows)).collect()}
+    assert out == brute_classes(rows) and 1 < len(set(out.values())) < 150
+
+
+def test_block_counts_agree_with_the_exact_similarity(vocabulary):
+    rng = random.Random(22)
+    base = make_text(rng, 60, vocabulary).split() + ["again"] * 12
+    texts = []
+    for _ in range(60):
+        words = list(base) if rng.random() < 0.7 else list(dict.fromkeys(base))
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(99)}"
+        texts.append(neardup.shingles(" ".join(words[: rng.choice([len(words), 60])]).encode().split()))
+    block = neardup.Block(texts)
+    for other in texts:
+        exact = [neardup.similarity(t, other) >= 0.8 for t in texts]
+        assert block.alike(other, 0.8, [True] * 60).tolist() == exact
+        assert not block.alike(other, 0.8, [False] * 60).any()
+
+
+def test_ids_with_several_texts_lose_none(frame, vocabulary):
+    rng = random.Random(23)
+    a, b, c = (make_text(rng, 40, vocabulary) for _ in range(3))
+    docs = frame([(1, a), (2, b), (2, a), (3, b), (4, c), (4, b), (4, None), (1, a), (5, ""), (5, "  ")])
+    out = Counter((r["doc_id"], r["class_id"], r["kept"]) for r in neardup.classes(docs).collect())
+    assert out == Counter({(1, 1, True): 2, (2, 1, False): 1, (2, 2, True): 1, (3, 2, False): 1, (4, 4, True): 2, (4, 2, False): 1, (5, 5, True): 2})
+    kept = Counter((r["doc_id"], r["text"]) for r in neardup.deduplicated(docs).collect())
+    assert kept == Counter([(1, a), (2, b), (4, c), (4, None), (5, "")]) or kept == Counter([(1, a), (2, b), (4, c), (4, None), (5, "  ")])
+
+
 def test_similarity_of_sets_is_jaccard_and_weights_count():
     a, b = [neardup.shingles(t.split()) for t in (b"a b c d e f g h", b"a b c d e f g x")]
     assert neardup.similarity(a, b) == pytest.approx(3 / 5)
