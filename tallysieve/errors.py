@@ -17,3 +17,7 @@ class ArchiveError(IngestionError):
 
 class DelimitedError(IngestionError):
     """Encoding, delimiter, header or records of a delimited file."""
+
+
+class ConflictError(Exception):
+    """Another version was committed since the one that a writer builds on."""

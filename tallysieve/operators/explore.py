@@ -160,11 +160,18 @@ def by_payment(sales: DataFrame) -> DataFrame:
 
 def volumes(raw: DataFrame, fact: DataFrame, rejected: DataFrame) -> DataFrame:
     """Received, valid and rejected as one row, with the approval rate."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("n")).scalar().alias(name)
-        for df, name in ((raw, "recebidos"), (fact, "validos"), (rejected, "rejeitados"))
-    ]
-    row = raw.sparkSession.range(1).select(*counted)
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).scalar() for df in (raw, fact, rejected)]
+    return _volume_row(raw.sparkSession, counted)
+
+
+def volume_row(spark: SparkSession, received: int, valid: int, rejected: int) -> DataFrame:
+    """The same row from counts that are known."""
+    return _volume_row(spark, [F.lit(n).cast("bigint") for n in (received, valid, rejected)])
+
+
+def _volume_row(spark: SparkSession, counts: list[Column]) -> DataFrame:
+    names = ("recebidos", "validos", "rejeitados")
+    row = spark.range(1).select(*[c.alias(n) for c, n in zip(counts, names, strict=True)])
     return row.withColumn("taxa_aprovacao", ptbr.ratio_text(F.col("validos"), F.col("recebidos")))
 
 

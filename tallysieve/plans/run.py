@@ -50,9 +50,10 @@ def publish_run(
     version: str,
 ) -> None:
     """Write all tables and exports of one version; only the last step makes it current."""
+    facts: list[publish.Facts] = []
 
     def write(name: str, df: DataFrame, by_month: str | None = None) -> None:
-        publish.write_table(df, output, version, name, by_month)
+        facts.append(publish.write_table(df, output, version, name, by_month))
 
     write("raw_vendas", raw_sales)
     for name in ("consultores", "lojas", "veiculos"):
@@ -66,16 +67,15 @@ def publish_run(
     exports.write_report(report, f"{output}/version={version}/quality_report_csv")
     rejected = publish.read_table(spark, output, "rejected_sales", version)
     exports.write_quarantine(rejected, f"{quarantine}/version={version}/rejected_sales_csv")
-    publish.commit_version(spark, output, version, list(TABLES))
+    publish.commit_version(output, version, facts)
 
 
 def summarise(spark: SparkSession, output: str, version: str, input_files: DataFrame) -> DataFrame:
-    """One row: files, received, valid and rejected sales; counts come from file footers."""
-    received, valid, rejected = (
-        publish.read_table(spark, output, name, version) for name in ("raw_vendas", "fact_vendas", "rejected_sales")
-    )
+    """One row: files, received, valid and rejected sales, as the version log has them from the writes."""
+    facts = publish.facts_of(spark, output, version)
+    received, valid, rejected = (facts[name]["rows"] for name in ("raw_vendas", "fact_vendas", "rejected_sales"))
     files = input_files.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return explore.volumes(received, valid, rejected).withColumn("arquivos", files)
+    return explore.volume_row(spark, received, valid, rejected).withColumn("arquivos", files)
 
 
 def run_batch(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from ..errors import ConflictError
 from ..operators import explore, keys, marts
 from ..plans import run
 from ..plans.evaluate import evaluate
@@ -444,7 +446,7 @@ def _(w):
 
 @query("b06_version_switch", "select count(*) as validas, (select count(*) from rejected) as rejeitadas from fact")
 def _(w):
-    """A half-written version is never read: only logged versions are."""
+    """A half-written version is never read: only committed versions are."""
     layer = _layer(w)
     publish.write_table(w.clean("lojas"), w.out, publish.new_version(), "fact_vendas")
     live = published.open_layer(w.spark, w.out)
@@ -481,8 +483,38 @@ def _(w):
     return _read_back(w, path, list(fv.EXPORTED_COLUMNS))
 
 
+@query(
+    "b06_two_writers",
+    " union all ".join(f"select {k} as numero, (select count(*) from lojas) as linhas, {str(k == 4).lower()} as atual, true as confere" for k in range(1, 5)),
+)
+def _(w):
+    """Four writers publish at once; all come into the log, one after another, and a stale one is refused."""
+    root = Staging(w.spark).folder
+    stores_of = w.clean("lojas")
+
+    def publish_one(_):
+        version = publish.new_version()
+        facts = [publish.write_table(stores_of, root, version, "dim_lojas")]
+        return publish.commit_version(root, version, facts)
+
+    with ThreadPoolExecutor(4) as writers:
+        numbers = sorted(writers.map(publish_one, range(4)))
+    try:
+        publish.commit_version(root, publish.new_version(), [], base=numbers[-2])
+        raise AssertionError("a stale writer was let in")
+    except ConflictError:
+        pass
+    live = publish.current_entry(root)
+    log = publish.versions(w.spark, root).select("number", "version", F.explode("tables").alias("t"))
+    counted = publish.read_table(w.spark, root, "dim_lojas").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return log.select(
+        F.col("number").cast("int").alias("numero"), F.col("t.rows").alias("linhas"), (F.col("version") == live["version"]).alias("atual"), (F.col("t.rows") == counted).alias("confere")
+    )
+
+
 @query("b10_run_summary", "select (select count(*) from raw_vendas) as recebidos, (select count(*) from fact) as validos, (select count(*) from rejected) as rejeitados")
 def _(w):
+    """From what was observed while the tables were written."""
     layer = _layer(w)
     files = _listing(w).where("kind = 'file'")
     return run.summarise(w.spark, w.out, layer.version, files).select("recebidos", "validos", "rejeitados")
@@ -518,3 +550,27 @@ def _(w):
     missing, added = (a.exceptAll(b).agg(F.count(F.lit(1)).cast("int").alias("n")).scalar() for a, b in ((w.fact, fact), (fact, w.fact)))
     totals = marts.reconcile(fact, _layer(w).table("mart_vendas_mensal"))
     return totals.withColumns({"a_menos": missing, "a_mais": added})
+
+
+@query(
+    "l03_rerun_fingerprint",
+    "select 'igual' as caso, true as mesmo, 0 as linhas union all select 'uma linha repetida', false, 1 union all select 'um valor trocado', false, 0",
+)
+def _(w):
+    """The fact of a second build against the published one by what the log says of it: one aggregate, nothing compared row by row.
+
+    A fact with one row twice and one with one changed value are told from it.
+    """
+    logged = publish.facts_of(w.spark, _layer(w).root, _layer(w).version)["fact_vendas"]
+    again = Staging(w.spark)
+    fact = publish.published_form(again("fact", evaluate(w.tables(), as_of(), stage=again).fact))
+    one = fact.orderBy(*keys.source_order()).limit(1)
+    first = one.select(fv.SOURCE_FILE, fv.SOURCE_LINE).collect()[0]
+    here = (F.col(fv.SOURCE_FILE) == first[0]) & (F.col(fv.SOURCE_LINE) == first[1])
+    changed = fact.withColumn("quality_issues", F.when(here, F.lit("x")).otherwise(F.col("quality_issues")))
+    cases = {"igual": fact.repartition(7), "uma linha repetida": fact.unionAll(one), "um valor trocado": changed}
+    rows = []
+    for case, frame in cases.items():
+        found = publish.fingerprint(frame)
+        rows.append((case, all(found[k] == logged[k] for k in found), found["rows"] - logged["rows"]))
+    return w.spark.createDataFrame(rows, "caso string, mesmo boolean, linhas int")

@@ -39,7 +39,7 @@ _CACHED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def open_layer(spark: SparkSession, root: str) -> Layer:
-    return Layer(spark, root, publish.current_version(spark, root))
+    return Layer(spark, root, publish.current_version(root))
 
 
 def cached_sales(layer: Layer) -> DataFrame:

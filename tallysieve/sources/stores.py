@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import stat
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -71,6 +72,43 @@ def children(path: str) -> Iterator[str]:
         yield from (info.base_name for info in store.get_file_info(fs.FileSelector(place)))
 
 
+def read_all(path: str) -> bytes:
+    """A small file."""
+    store, place = store_of(path)
+    with store.open_input_stream(place) as source:
+        return source.read()
+
+
+def create_new(path: str, content: bytes) -> bool:
+    """Create a small file, whole, unless something has its name already; says whether it did.
+
+    Needs a store in which a name is taken once: local ones link, a distributed file system refuses to rename onto a file.
+    Object stores replace, so they are refused.
+    """
+    store, place = store_of(path)
+    folder, _, name = place.rpartition("/")
+    store.create_dir(folder, recursive=True)
+    unfinished = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    if not isinstance(store, fs.LocalFileSystem) and store.type_name not in ("hdfs", "viewfs"):
+        raise NotImplementedError(f"{store.type_name} cannot create a file only where none is")
+    with store.open_output_stream(unfinished) as out:
+        out.write(content)
+    try:
+        if isinstance(store, fs.LocalFileSystem):
+            os.link(unfinished, place)
+        else:
+            store.move(unfinished, place)
+            return True
+    except OSError:
+        if store.get_file_info(place).type == fs.FileType.NotFound:
+            raise
+        return False
+    finally:
+        if store.get_file_info(unfinished).type != fs.FileType.NotFound:
+            store.delete_file(unfinished)
+    return True
+
+
 def _list(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in LISTED.split(", ")]
     for frame in frames:

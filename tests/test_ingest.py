@@ -3,14 +3,15 @@ import random
 import re
 import stat
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import CARS, PEOPLE, SALE, STORES
 from pyspark.sql import functions as F
 from tallysieve import fixed_values as fv
-from tallysieve.errors import ArchiveError, DelimitedError, InputError
+from tallysieve.errors import ArchiveError, ConflictError, DelimitedError, InputError
 from tallysieve.plans.run import run_batch
-from tallysieve.sinks import exports, raw_files
+from tallysieve.sinks import exports, publish, raw_files
 from tallysieve.sinks.staging import Staging
 from tallysieve.sources import archives, delimited, listing, published, ranges, stores
 from tallysieve.sources.batch import read_batch
@@ -374,3 +375,51 @@ def test_month_filter_prunes_partitions(spark, tmp_path):
     assert len(picked.select("venda_id").inputFiles()) >= 1
     plan = picked._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(__mes" in plan
+
+
+def stores_frame(spark, *names):
+    return spark.createDataFrame([(n, i) for i, n in enumerate(names)], "loja_id string, n int")
+
+
+def test_fingerprints_know_multisets_of_rows(spark):
+    rows = [("a", 1), ("b", None), (None, 2), ("b", None), (None, None)]
+    frame = lambda r: spark.createDataFrame(r, "x string, y int")
+    found = publish.fingerprint(frame(rows))
+    assert found == publish.fingerprint(frame(rows[::-1]).repartition(3)) == publish.fingerprint(frame(rows).select("y", "x"))
+    for other in (rows[:-1], [*rows, ("b", None), ("b", None)], [*rows[:-1], (None, 3)], [("a", None), ("b", 1), *rows[2:]]):
+        assert publish.fingerprint(frame(other)) != found
+    assert publish.fingerprint(frame([])) == {"rows": 0, "total": "0", "mixed": 0}
+
+
+def test_writers_take_numbers_in_turn_and_stale_ones_are_refused(spark, tmp_path):
+    root = str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        publish.current_version(root)
+
+    def write(name):
+        facts = [publish.write_table(stores_frame(spark, name, "x"), root, name, "lojas")]
+        return publish.commit_version(root, name, facts)
+
+    with ThreadPoolExecutor(6) as writers:
+        assert sorted(writers.map(write, "abcdef")) == [1, 2, 3, 4, 5, 6]
+    log = publish.versions(spark, root).collect()
+    assert [r["number"] for r in log] == [6, 5, 4, 3, 2, 1] and {r["version"] for r in log} == set("abcdef")
+    assert publish.current_version(root) == log[0]["version"] and all(r["tables"][0]["rows"] == 2 for r in log)
+    with pytest.raises(ConflictError, match="version 6 was committed"):
+        publish.commit_version(root, "stale", [], base=5)
+    assert publish.commit_version(root, "next", [], base=6) == 7
+    assert [p.name for p in sorted((tmp_path / "out" / "versions").iterdir())] == [f"{k:012d}.json" for k in range(1, 8)]
+
+
+def test_a_taken_number_is_never_written_over(tmp_path):
+    path = str(tmp_path / "log" / "1.json")
+    assert stores.create_new(path, b"first") and not stores.create_new(path, b"second")
+    assert stores.read_all(path) == b"first" and len(list((tmp_path / "log").iterdir())) == 1
+
+
+def test_published_facts_equal_a_recount(spark, tmp_path):
+    out = str(tmp_path / "out")
+    done = run_batch(spark, write_zip(tmp_path / "a.zip"), out, str(tmp_path / "q"))
+    for name, facts in publish.facts_of(spark, out, done.version).items():
+        table = publish.read_table(spark, out, name)
+        assert publish.fingerprint(table) == {k: facts[k] for k in ("rows", "total", "mixed")}
