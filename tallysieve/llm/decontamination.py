@@ -117,8 +117,13 @@ class Coder(dict):
         self[word] = code
         return code
 
-    def codes(self, words: list[bytes]) -> Codes:
-        raw = np.fromiter(map(self.__getitem__, words), "int64", len(words))
+    def codes(self, words: list[bytes], wanted: np.ndarray | None = None) -> Codes:
+        """Of all words, or of those `wanted`: the others count as words that no item has."""
+        if wanted is None:
+            raw = np.fromiter(map(self.__getitem__, words), "int64", len(words))
+        else:
+            raw = np.full(len(words), 4)
+            raw[wanted] = np.fromiter((self[words[k]] for k in np.flatnonzero(wanted).tolist()), "int64", np.count_nonzero(wanted))
         begins = np.ones(len(raw), bool)
         begins[1:] = raw[:-1] & 1
         at = np.flatnonzero(raw & 4)
@@ -206,6 +211,11 @@ class Index:
                 order = np.lexsort((places, numbers, hashes))
                 self.tables[key] = (hashes[order], numbers[order], places[order])
 
+        # All items' codes one after another, to compare many items with a text at once.
+        lengths = [len(codes) for *_, codes in self.items]
+        self.begins = np.cumsum([0, *lengths])
+        self.literals = np.concatenate([codes.literal for *_, codes in self.items] or [np.zeros(0, "int64")])
+        self.names = np.concatenate([codes.named for *_, codes in self.items] or [np.zeros(0, "int64")])
         self.shortest = min((size for size, _ in self.tables), default=0)
         forms = " ".join(v for v in [*self.vocabulary, *NUMBER_WORDS] if v not in (NUM, UNIT, NAME)).encode("utf-8", "surrogatepass")
         self.plain_hashes = np.unique(word_hashes(np.frombuffer(forms, "uint8"))[2])
@@ -238,30 +248,37 @@ class Index:
             hashes = np.array([window_hashes(row, size)[0] for row in reading], "uint64")
             yield hashes, new & ((~self.is_slot(reading)).sum(1) >= need), some
 
-    def possible(self, bodies: list[bytes]) -> np.ndarray:
-        """False where no window can match: too few words in a row are in the vocabulary or may be slots."""
-        out = np.zeros(len(bodies), bool)
+    def possible(self, bodies: list[bytes]) -> list[np.ndarray | None]:
+        """Which words of each text have to be coded: those of windows that may match, and the word before each.
+
+        None where no window can: too few words in a row are in the vocabulary or may be slots.
+        """
         size = self.shortest
         if not size:
-            return out
+            return [None] * len(bodies)
         begin, end, hashes = word_hashes(body := np.frombuffer(b"\n".join(bodies), "uint8"))
         solid = np.concatenate([[0], np.cumsum(SOLID[body])])
         kept = solid[end] > solid[begin]  # words of ASCII punctuation alone are in no window
-        begin, hashes = begin[kept], hashes[kept]
-        if len(begin) < size:
-            return out
-        owner = np.searchsorted(np.cumsum([len(b) + 1 for b in bodies]), begin, "right")
+        borders = np.searchsorted(begin, np.cumsum([0] + [len(b) + 1 for b in bodies]))
+        wanted = ~kept | (hashes == 0)  # whether these are words is for the coder to say
+        begin, hashes, places = begin[kept], hashes[kept], np.flatnonzero(kept)
+        owner = np.searchsorted(borders, places, "right") - 1
         plain = isin(hashes, self.plain_hashes) | (hashes == 0)  # other words without hash may be punctuation
         known = np.concatenate([[0], np.cumsum(plain)])
         fits = np.concatenate([[0], np.cumsum(plain | OPENS_SLOT[body[begin]] | isin(hashes, self.unit_hashes))])
+        near, chosen = np.zeros(len(begin) + 1, "int64"), np.zeros(len(bodies), bool)
         for size in {size for size, _ in self.tables if size <= len(begin)}:
             hit = (fits[size:] - fits[:-size] == size) & (known[size:] - known[:-size] >= min(self.plain, size))
             hit &= owner[: len(hit)] == owner[size - 1 :]
-            out[owner[np.flatnonzero(hit)]] = True
-        return out
-
-    def hits(self, coder: Coder, words: list[bytes]) -> list[tuple[int, int, int, int, int]]:
-        codes = coder.codes(words)
+            at = np.flatnonzero(hit)
+            chosen[owner[at]] = True
+            np.add.at(near, np.maximum(at - 1, 0), 1)
+            np.subtract.at(near, at + size, 1)
+        wanted[places[np.cumsum(near)[:-1] > 0]] = True
+        return [wanted[a:z] if c else None for c, a, z in zip(chosen, borders, borders[1:])]
+
+    def hits(self, coder: Coder, words: list[bytes], wanted: np.ndarray | None = None) -> list[tuple[int, int, int, int, int]]:
+        codes = coder.codes(words, wanted)
         diagonals = defaultdict(set)
         for (size, verbatim), (hashes, numbers, places) in self.tables.items():
             if len(codes) < size:
@@ -282,6 +299,8 @@ class Index:
                 for j in np.flatnonzero(high > low):
                     for n, place in zip(numbers[low[j] : high[j]].tolist(), places[low[j] : high[j]].tolist()):
                         diagonals[n].add(int(full[j]) - place)
+        if len(diagonals) > 32:
+            diagonals = self.hopeful(diagonals, codes)
         out = []
         for number, shifts in sorted(diagonals.items()):
             item_id, _, item = self.items[number]
@@ -291,6 +310,34 @@ class Index:
                 out.append((item_id, *result))
         return out
 
+    def hopeful(self, diagonals: dict[int, set[int]], codes: Codes) -> dict[int, set[int]]:
+        """The items that can be covered enough, all compared at once: many may share a phrase and nothing else.
+
+        Counts words in windows that match on some diagonal, whatever their slots stand for; no hit is lost.
+        """
+        number, shift = np.array([(n, d) for n, found in diagonals.items() for d in found], "int64").T
+        begin, length = self.begins[number], self.begins[number + 1] - self.begins[number]
+        first = np.maximum(0, -shift)
+        size = np.maximum(np.minimum(length, len(codes) - shift) - first, 0)
+        ends = np.cumsum(size)
+        pair = np.repeat(np.arange(len(number)), size)
+        word = np.arange(len(pair)) - (ends - size)[pair] + first[pair]
+        here, there = begin[pair] + word, word + shift[pair]
+        named = self.names[here]
+        same = (self.literals[here] == codes.literal[there]) | ((named == codes.named[there]) & self.is_slot(named))
+        window = np.minimum(length, self.window)[pair]
+        sums = np.concatenate([[0], np.cumsum(same)])
+        at = np.flatnonzero(np.arange(len(pair)) + window <= ends[pair])
+        at = at[sums[at + window[at]] - sums[at] == window[at]]
+        inside = np.zeros(len(pair) + 1, "int64")
+        np.add.at(inside, at, 1)
+        np.subtract.at(inside, at + window[at], 1)
+        words = np.zeros(len(self.literals) + 1, "int64")
+        words[1 + here[np.cumsum(inside)[:-1] > 0]] = 1  # a word of an item counts once, wherever it matches
+        covered = np.diff(np.cumsum(words)[self.begins])
+        enough = covered >= np.minimum(self.covered, np.diff(self.begins))
+        return {n: found for n, found in diagonals.items() if enough[n]}
+
     def alike(self, item: Codes, codes: Codes, shift: int) -> list[int]:
         """Positions of the windows of a diagonal that match but for the values of slots, with enough plain words or verbatim."""
         size = min(self.window, len(item))
@@ -355,7 +402,7 @@ def search_texts(index: Index, coder: Coder, part: list[str | None], portion: in
         for body, possible in zip(bodies[at:stop], index.possible(bodies[at:stop])):
             # The two letters whose lower case is a plain ASCII letter escape the hashes.
             odd = b"\xe2\x84\xaa" in body or b"\xc4\xb0" in body
-            out.append(index.hits(coder, body.split()) if possible or odd else [])
+            out.append([] if possible is None and not odd else index.hits(coder, body.split(), None if odd else possible))
         at = stop
     return out
 

@@ -1,9 +1,14 @@
 """Copies of benchmark items that a word of punctuation, dense slots, names or an inserted word once hid."""
 
+import random
+import time
+
 import pytest
 
 from tallysieve.llm import decontamination
 
+from .conftest import make_text
+
 ITEMS = {
     1: "12 + 15 = 27 , 27 - 9 = 18 , 18 + 4 = 22 , 22 - 7 = 15",
     2: "Which river , of all , crosses the old town ?",
@@ -61,3 +66,35 @@ def test_short_items_hide_no_spread_windows():
     items = NAMED | {14: "four plain words here", 15: "red 5 dogs 6 saw cats 7 near old 8 barns 9 while hot winds 3 blew"}
     text = items[15].replace("5", "51").replace("9", "91")
     assert 15 in found(items, text)
+
+
+def test_a_phrase_that_many_items_share_costs_little_and_hides_none(vocabulary):
+    """Two thousand items begin alike; a text with the phrase alone holds none, one with a whole item holds that."""
+    rng = random.Random(31)
+    phrase = "Read the following short story and then answer the question below"
+    items = {k: f"{phrase} {make_text(rng, 20, vocabulary)}" for k in range(2000)}
+    index = decontamination.Index(list(items.items()))
+    coder = decontamination.Coder(index.vocabulary)
+    alone = " ".join(f"{phrase} {make_text(rng, 9, vocabulary)}" for _ in range(10))
+    decontamination.search_texts(index, coder, [alone])
+    began = time.process_time()
+    assert decontamination.search_texts(index, coder, [alone]) == [[]]
+    assert time.process_time() - began < 0.5
+    assert [h[0] for h in decontamination.search_texts(index, coder, [f"so {items[77]} it is"])[0]] == [77]
+
+
+def test_many_items_at_once_are_judged_as_one_by_one(vocabulary):
+    """The comparison of all items at once gives up none that the search item by item finds."""
+    rng = random.Random(32)
+    few = vocabulary[:12]
+    items = {k: make_text(rng, rng.randint(3, 24), few).title() if k % 3 else f"{make_text(rng, 8, few)} 3 km {make_text(rng, 8, few)}" for k in range(120)}
+    texts = [f"{make_text(rng, 5, few)} {items[rng.randrange(120)]} {make_text(rng, 30, few)} {items[rng.randrange(120)].replace('3', '8')}" for _ in range(40)]
+    together = decontamination.Index(list(items.items()))
+    found = decontamination.search_texts(together, decontamination.Coder(together.vocabulary), texts)
+    for text, hits in zip(texts, found):
+        one_by_one = []
+        for item in items.items():
+            index = decontamination.Index([item])
+            one_by_one += decontamination.search_texts(index, decontamination.Coder(index.vocabulary), [text])[0]
+        assert sorted(h[0] for h in hits) == sorted(h[0] for h in one_by_one)
+    assert sum(map(len, found)) > 40
