@@ -6,7 +6,7 @@ of windows. Only anchors that occur more than once can belong to repeated window
 dealt out by anchor and solved exactly there. Documents of equal text are put together first.
 
 An anchor within a passage that very many documents share would bring all of them to one task. The windows of such hot
-anchors are dealt out by 128-bit fingerprints of their own, a row for each, so that every group is one distinct window
+anchors are dealt out by 128-bit BLAKE2 digests of their own text, a row for each, so that every group is one distinct window
 and is counted by partial aggregates.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from .neardup import STEP, mix
 HOT_RUNS = 2000
 #: Stands for NULL ids, before all others.
 NO_ID = -(2**63)
-BASES = (np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C55))
+BASE = np.uint64(0x100000001B3)
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,7 @@ def powers(base: np.uint64, count: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-def run_hashes(codes: np.ndarray, length: int, base: np.uint64 = BASES[0]) -> np.ndarray:
+def run_hashes(codes: np.ndarray, length: int, base: np.uint64 = BASE) -> np.ndarray:
     """Polynomial hashes of every `length` tokens in a row."""
     n = len(codes) - length + 1
     if n < 1:
@@ -162,14 +163,18 @@ def pieces(found: DataFrame, shape: Shape) -> DataFrame:
 
 
 def hot_windows(found: DataFrame, shape: Shape) -> DataFrame:
-    """(f, g, d, key, start) of each window of a hot anchor; (f, g) is its fingerprint."""
+    """(f, g, d, key, start) of each window of a hot anchor; (f, g) are the halves of a BLAKE2 digest of its text.
+
+    Two windows with one digest are one text: no two others are known, nor can they be found.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for d, key, text, runs in zip(frame["d"], frame["key"], frame["text"], frame["runs"]):
-                codes = shape.codes(text.encode("utf-8", "surrogatepass"))
+                cut = shape.piece(text.encode("utf-8", "surrogatepass"))
                 at = np.concatenate([np.arange(r["start"], r["start"] + r["count"]) for r in runs if r["hot"]])
-                f, g = (run_hashes(codes, shape.window, base)[at].view("int64") for base in BASES)
+                digests = b"".join(blake2b(cut(a, a + shape.window), digest_size=16).digest() for a in at.tolist())
+                f, g = np.frombuffer(digests, "<i8").reshape(-1, 2).T
                 yield pd.DataFrame({"f": f, "g": g, "d": d, "key": key, "start": at.astype("int32")})
 
     hot = found.where(F.exists("runs", lambda r: r["hot"]))

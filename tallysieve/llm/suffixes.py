@@ -147,7 +147,10 @@ def trim(body: bytes, spans: list) -> tuple[int, int, str]:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, hot_runs: int = anchors.HOT_RUNS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and n_kept, what is left, of every row.
+
+    Repeats shorter than the window stay: a passage of 50 short words may have fewer bytes than that.
+    """
     stage, shape = anchors.stage_of(docs), shape_of(window)
     rows = stage("survey", anchors.survey(docs, shape, lambda body, codes: sha256_hex(body)))
     found = anchors.recurring(rows, docs, stage, hot_runs)
@@ -165,4 +168,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, hot_runs: int = anchor
         F.when(copy, F.col("size")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, F.lit(sha256_hex(b""))).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"),
-    )
+    ).withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
