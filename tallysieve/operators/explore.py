@@ -261,9 +261,13 @@ def with_alerts(sales: DataFrame, present: bool | None) -> DataFrame:
 
 def sort_sales(sales: DataFrame, order: str = "newest") -> DataFrame:
     """Sorted by date or amount, NULLs last; ties stay in source order."""
+    return sales.orderBy(*[c.asc_nulls_last() if ascending else c.desc_nulls_last() for c, ascending in sales_order(order)])
+
+
+def sales_order(order: str = "newest") -> list[tuple[Column, bool]]:
+    """The columns of a sort and whether they ascend."""
     column, ascending = SORTS[order]
-    main = F.col(column).asc_nulls_last() if ascending else F.col(column).desc_nulls_last()
-    return sales.orderBy(main, *keys.source_order())
+    return [(F.col(column), ascending), *((c, True) for c in keys.source_order())]
 
 
 def trace_counts(sales: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..errors import ConflictError
 from ..operators import explore, keys, marts
+from ..operators import order as proof
 from ..plans import run
 from ..plans.evaluate import evaluate
 from ..sinks import exports, publish, raw_files
@@ -375,6 +376,41 @@ def _(w):
     return picked.join(rows, "name").select("escolha", F.col("name").alias("arquivo"), "linhas")
 
 
+_PROOF = "select '{0}' as ordem, count(*) as linhas, 0 as quebras, true as troca_vista from {1}"
+
+
+def _proof(w, name: str, rows: DataFrame, order: list) -> DataFrame:
+    """Breaks in rows written in order, and whether the same rows with one pair swapped have any."""
+    root = Staging(w.spark).folder
+    rows.write.parquet(f"{root}/sorted")
+    written = w.spark.read.parquet(f"{root}/sorted")
+    # The smallest and the largest file line change places in the text of their keys.
+    ends = written.agg(F.min(fv.SOURCE_LINE).alias("a"), F.max(fv.SOURCE_LINE).alias("b")).collect()[0]
+    line = F.col(fv.SOURCE_LINE)
+    swapped = written.withColumn(fv.SOURCE_LINE, F.when(line == ends.a, F.lit(ends.b)).when(line == ends.b, F.lit(ends.a)).otherwise(line))
+    swapped = swapped.withColumn(fv.SOURCE_FILE, F.when(F.col(fv.SOURCE_LINE) == ends.a, F.lit("~")).otherwise(F.col(fv.SOURCE_FILE)))
+    for column in {c for c, _ in explore.SORTS.values()} & set(written.columns):
+        swapped = swapped.withColumn(column, F.when(F.col(fv.SOURCE_LINE) == ends.a, F.lit(None)).otherwise(F.col(column)))
+    swapped.write.parquet(f"{root}/swapped")
+    found = proof.order_breaks(written, order)
+    broken = proof.order_breaks(w.spark.read.parquet(f"{root}/swapped"), order).select((F.col("breaks") > 0).alias("troca_vista"))
+    return found.crossJoin(broken).select(F.lit(name).alias("ordem"), F.col("rows").alias("linhas"), F.col("breaks").cast("int").alias("quebras"), "troca_vista")  # a row each
+
+
+@query("a12_order_proof", _PROOF.format("source", "vendas"))
+def _(w):
+    """The consolidated source as written: parts in order and in turn."""
+    rows = w.clean("vendas").select("venda_id", fv.SOURCE_FILE, fv.SOURCE_LINE)
+    return _proof(w, "source", rows.orderBy(*keys.source_order()), [(c, True) for c in keys.source_order()])
+
+
+@query("h02_order_proof", " union all ".join(_PROOF.format(order, "sales") for order in explore.SORTS))
+def _(w):
+    """All four sorts of an investigation as written."""
+    rows = w.sales.select("venda_id", "data_venda", "valor_venda", fv.SOURCE_FILE, fv.SOURCE_LINE)
+    return reduce(DataFrame.unionAll, [_proof(w, order, explore.sort_sales(rows, order), explore.sales_order(order)) for order in explore.SORTS])
+
+
 def _layer(w) -> published.Layer:
     """One full build published under a version of its own."""
     if "layer" not in w.__dict__:

@@ -106,3 +106,28 @@ def test_presented_keeps_sources(sales):
     assert rows["S1"]["Valor da venda"] == "R$ 90,00"
     assert rows["S1"]["Desconto (%)"] == "10,00%"
     assert sales.agg(F.sum("valor_venda")).collect()[0][0] == 850
+
+
+def test_order_proof_sees_every_swapped_pair(spark, tmp_path):
+    from tallysieve.operators.order import order_breaks
+
+    rows = [(None if k % 17 == 16 else k // 3, f"t{k % 3}") for k in range(60)]
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    order = [(F.col("n"), False), (F.col("t"), True)]
+
+    def breaks(listed, name, parts):
+        for k in range(parts):  # part files in turn
+            part = listed[k * len(listed) // parts : (k + 1) * len(listed) // parts]
+            folder = tmp_path / f"{name}-{k}"
+            spark.createDataFrame(part, "n int, t string").coalesce(1).write.parquet(str(folder))
+            (tmp_path / name).mkdir(exist_ok=True)
+            next(folder.glob("part-*.parquet")).rename(tmp_path / name / f"part-{k:03d}.parquet")
+        return order_breaks(spark.read.parquet(str(tmp_path / name)), order).collect()[0]
+
+    found = breaks(rows, "sorted", 4)
+    assert (found["parts"], found["rows"], found["breaks"]) == (4, 60, 0)
+    for k in (5, 14, 58):  # within a part, at a border, among NULLs
+        swapped = [*rows[:k], rows[k + 1], rows[k], *rows[k + 2 :]]
+        assert breaks(swapped, f"swap{k}", 4)["breaks"] >= 1
+    assert breaks(rows[30:] + rows[:30], "turned", 2)["borders"] == 1
+    assert order_breaks(spark.read.schema("n int, t string").parquet(str(tmp_path / "sorted")).where("n < 0"), order).collect()[0]["breaks"] == 0
