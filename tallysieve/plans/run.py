@@ -98,4 +98,6 @@ def run_batch(
     summary = summarise(spark, output, version, batch.summary()).withColumn(
         "segundos", F.lit(round(time.time() - started, 2))
     )
-    return Run(version, output, quarantine, summary)
+    known = spark.createDataFrame(summary.collect(), summary.schema)  # one row, so that staged tables can go
+    stage.drop()
+    return Run(version, output, quarantine, known)

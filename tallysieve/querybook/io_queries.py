@@ -17,7 +17,7 @@ from ..operators import explore, keys, marts
 from ..operators import order as proof
 from ..plans import run
 from ..plans.evaluate import evaluate
-from ..sinks import exports, publish, raw_files
+from ..sinks import exports, publish, raw_files, retention
 from ..sinks.staging import Staging
 from ..sources import archives, batch, delimited, listing, published
 from . import adapter, oracle as o
@@ -469,6 +469,27 @@ def _(w):
     return out
 
 
+@query(
+    "b03_retention",
+    "select numero, estado, case when estado <> 'superseded' then (select count(*) from lojas) end as linhas from "
+    "(select 1 as numero, 'pinned' as estado union all select 2, 'superseded' union all select 3, 'superseded' union all select 4, 'kept' union all select 5, 'kept')",
+)
+def _(w):
+    """Five versions of the stores, one of them pinned by a reader, two kept: what is left after a sweep, table by table."""
+    root = Staging(w.spark).folder
+    names = [publish.new_version() for _ in range(5)]
+    for version in names:
+        publish.commit_version(root, version, [publish.write_table(w.clean("lojas"), root, version, "dim_lojas")])
+    publish.write_table(w.clean("lojas"), root, publish.new_version(), "dim_lojas")  # a run that has not ended
+    with retention.pinned(root, names[0]):
+        swept = retention.sweep(w.spark, root).where("state <> 'unfinished'")
+    left = listing.list_files(w.spark, root).where("kind = 'folder' and source_file like 'version=%/dim_lojas'")
+    counts = [publish.read_table(w.spark, root, "dim_lojas", v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("linhas")) for v in (names[0], *names[3:])]
+    there = left.select(F.regexp_extract("source_file", "version=([^/]+)", 1).alias("version")).join(reduce(DataFrame.unionAll, counts), "version")
+    numbers = publish.versions(w.spark, root).select("version", F.col("number").cast("int").alias("numero"))
+    return swept.join(numbers, "version").join(there, "version", "left").select("numero", F.col("state").alias("estado"), "linhas")
+
+
 @query("b04_published_mart", "select * from mart")
 def _(w):
     return _layer(w).table("mart_vendas_mensal").withColumn("mes", F.col("mes").cast("date"))

@@ -43,3 +43,12 @@ class Staging:
         target = f"{self.folder}/{name}"
         df.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
+
+    def drop(self) -> None:
+        """Remove all staged tables; frames that read them are of no use afterwards."""
+        from ..sources import stores
+
+        if stores.opens(self.folder):
+            store, place = stores.store_of(self.folder)
+            if stores.kind_of(self.folder)[0] == stores.FOLDER:
+                store.delete_dir(place)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallysieve import fixed_values as fv
 from tallysieve.errors import ArchiveError, ConflictError, DelimitedError, InputError
 from tallysieve.plans.run import run_batch
-from tallysieve.sinks import exports, publish, raw_files
+from tallysieve.sinks import exports, publish, raw_files, retention
 from tallysieve.sinks.staging import Staging
 from tallysieve.sources import archives, delimited, listing, published, ranges, stores
 from tallysieve.sources.batch import read_batch
@@ -423,3 +423,32 @@ def test_published_facts_equal_a_recount(spark, tmp_path):
     for name, facts in publish.facts_of(spark, out, done.version).items():
         table = publish.read_table(spark, out, name)
         assert publish.fingerprint(table) == {k: facts[k] for k in ("rows", "total", "mixed")}
+
+
+def test_sweeps_take_superseded_versions_only(spark, tmp_path):
+    root = str(tmp_path / "out")
+    frame = stores_frame(spark, "L1")
+    for name in "abcd":
+        publish.commit_version(root, name, [publish.write_table(frame, root, name, "lojas")])
+    publish.write_table(frame, root, "open", "lojas")
+    with retention.pinned(root, "a"):
+        states = {r["version"]: r["state"] for r in retention.sweep(spark, root, keep=1).collect()}
+        assert states == {"a": "pinned", "b": "superseded", "c": "superseded", "d": "kept", "open": "unfinished"}
+        assert publish.read_table(spark, root, "lojas", "a").count() == publish.read_table(spark, root, "lojas").count() == 1
+    there = lambda: {p.name for p in (tmp_path / "out").glob("version=*")}
+    assert there() == {"version=a", "version=d", "version=open"}
+    retention.sweep(spark, root, keep=1, grace_seconds=-1)
+    assert there() == {"version=d"} and publish.current_version(root) == "d"
+    with pytest.raises(FileNotFoundError, match="gone"), retention.pinned(root, "a"):
+        pass
+    assert not list((tmp_path / "out" / "pins").iterdir())
+    assert publish.commit_version(root, "e", []) == 5
+    with pytest.raises(ValueError, match="always stays"):
+        retention.marked(spark, root, keep=0)
+
+
+def test_a_run_leaves_no_staged_tables(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared))
+    done = run_batch(spark, write_zip(tmp_path / "a.zip"), str(tmp_path / "out"), str(tmp_path / "q"))
+    assert set(os.listdir(shared)) == before and done.summary.collect()[0]["validos"] == 3
