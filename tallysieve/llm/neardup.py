@@ -38,8 +38,8 @@ REGISTERS = BANDS * REGISTERS_PER_BAND
 #: Shingles in a block of texts that one task holds.
 BLOCK_SHINGLES = 400_000
 PORTION = 2_000_000
-#: Rows sent to Python at once; pairs carry two whole texts.
-BATCH_ROWS = 1000
+#: Rows sent to Python at once; a pair carries the shingles of two texts, which take megabytes where texts are long.
+BATCH_ROWS = 100
 
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
