@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import explore, marts
 from ..session import tune
-from ..sinks import exports, publish
+from ..sinks import exports, publish, search_index
 from ..sinks.staging import Staging
 from ..sources.batch import read_batch
 from ..sources.listing import UNLIMITED, Limits
@@ -63,6 +63,7 @@ def publish_run(
     write("rejected_sales", ev.rejected)
     write("quality_report", ev.report)
     write("mart_vendas_mensal", marts.monthly_mart(fact))
+    facts.append(search_index.publish_index(spark, output, version))
     report = publish.read_table(spark, output, "quality_report", version)
     exports.write_report(report, f"{output}/version={version}/quality_report_csv")
     rejected = publish.read_table(spark, output, "rejected_sales", version)

@@ -17,7 +17,7 @@ from ..operators import explore, keys, marts
 from ..operators import order as proof
 from ..plans import run
 from ..plans.evaluate import evaluate
-from ..sinks import exports, publish, raw_files, retention
+from ..sinks import exports, publish, raw_files, retention, search_index
 from ..sinks.staging import Staging
 from ..sources import archives, batch, delimited, listing, published
 from . import adapter, oracle as o
@@ -513,6 +513,21 @@ def _(w):
     return w.spark.range(1).select(valid.alias("validas"), rejected.alias("rejeitadas"))
 
 
+_SEARCHES = ("RiNg", "s12", "Supplier#00000000", "no such text", "#0")
+
+
+def _search_sql(q: str) -> str:
+    return "(" + " or ".join(f"contains(lower({c}), '{q}')" for c in fv.SEARCHED_COLUMNS) + ")"
+
+
+@query("d05_indexed_search", " union all ".join(f"select '{q}' as busca, venda_id, __source_file, __source_line from sales where {_search_sql(q.lower())}" for q in _SEARCHES))
+def _(w):
+    """Searches of the published fact through the skip index."""
+    layer = _layer(w)
+    found = [search_index.search(w.spark, w.out, layer.version, q).select(F.lit(q).alias("busca"), "venda_id", fv.SOURCE_FILE, fv.SOURCE_LINE) for q in _SEARCHES]
+    return reduce(DataFrame.unionAll, found)
+
+
 _MOMENTS = ", ".join(f"cast({c} as timestamp) as {c}" for c in ("data_venda", "data_admissao"))
 
 

@@ -10,8 +10,9 @@ from conftest import CARS, PEOPLE, SALE, STORES
 from pyspark.sql import functions as F
 from tallysieve import fixed_values as fv
 from tallysieve.errors import ArchiveError, ConflictError, DelimitedError, InputError
+from tallysieve.operators import explore
 from tallysieve.plans.run import run_batch
-from tallysieve.sinks import exports, publish, raw_files, retention
+from tallysieve.sinks import exports, publish, raw_files, retention, search_index
 from tallysieve.sinks.staging import Staging
 from tallysieve.sources import archives, delimited, listing, published, ranges, stores
 from tallysieve.sources.batch import read_batch
@@ -452,3 +453,25 @@ def test_a_run_leaves_no_staged_tables(spark, tmp_path):
     before = set(os.listdir(shared))
     done = run_batch(spark, write_zip(tmp_path / "a.zip"), str(tmp_path / "out"), str(tmp_path / "q"))
     assert set(os.listdir(shared)) == before and done.summary.collect()[0]["validos"] == 3
+
+
+def test_skip_index_reads_few_files_and_loses_no_match(spark, tmp_path):
+    rng = random.Random(3)
+    names = ["Ana", "Bruno", "CARLA", "Élio", "Zoë", "İnci"]
+    rows = []
+    for part in range(12):
+        rows += [(f"S{part}-{k}", rng.choice(names), "Centro" if part % 4 else "Norte", f"Modelo {part}", None if k % 5 else "toyota", f"f{part}.csv", part) for k in range(30)]
+    root = str(tmp_path / "fact")
+    spark.createDataFrame(rows, "venda_id string, consultor string, loja string, modelo string, marca string, __source_file string, part int").repartition(12, "part").write.parquet(root)
+    fact = spark.read.parquet(root)
+    index = search_index.index_of(fact).cache()
+    view = explore.explored(fact.selectExpr("*", *[f"cast(null as string) as {c}" for c in ("canal_origem", "forma_pagamento")]))
+    files = fact.select("_metadata.file_path").distinct().count()
+    for query in (*names, "norte", "modelo 11", "S7-2", "toyota", "f3.csv", " ana ", "nothing like it", "élio"):
+        holding = {r[0] for r in explore.search(view, query).select("__source_file").distinct().collect()}
+        kept = {r["file"] for r in search_index.files_to_read(index, query).collect()}
+        read = {r[0] for r in fact.where(F.col("_metadata.file_path").isin(list(kept))).select("__source_file").distinct().collect()}
+        assert holding <= read
+    assert search_index.files_to_read(index, "nothing like it").count() == 0
+    assert 0 < search_index.files_to_read(index, "modelo 11").count() <= files / 3
+    assert search_index.files_to_read(index, "an") is None
