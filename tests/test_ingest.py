@@ -240,6 +240,24 @@ def test_landed_files_have_their_names_and_nothing_beside(spark, tmp_path):
     assert {p.relative_to(tmp_path / "out").as_posix() for p in (tmp_path / "out").rglob("*")} == {"a b", "a b/_x.csv", "é.zip"}
 
 
+def test_files_of_any_size_are_landed_block_by_block(spark, tmp_path):
+    """No file goes through a row: copies keep their bytes behind a head, and a month of several files is one archive."""
+    a, b = (str(tmp_path / f"in-{k}.csv") for k in "ab")
+    (tmp_path / "in-a.csv").write_bytes(b"x;y\n1;2\n" * 200_000)
+    (tmp_path / "in-b.csv").write_bytes("x;y\n3;é\n".encode())
+    heads = spark.createDataFrame([("c/_a.csv", bytearray(b"\xef\xbb\xbf"), a), ("b.csv", bytearray(b""), b)], "name string, head binary, path string")
+    landed = {tuple(r) for r in raw_files.land_copies(heads, str(tmp_path / "out")).collect()}
+    assert landed == {("c/_a.csv", 1_600_003), ("b.csv", 9)}
+    assert (tmp_path / "out/c/_a.csv").read_bytes() == b"\xef\xbb\xbf" + b"x;y\n1;2\n" * 200_000
+    assert {tuple(r) for r in raw_files.line_feeds(heads).collect()} == {(a, 400_000), (b, 2)}
+    packages = spark.createDataFrame([("m_1.zip", "dados/m.csv", [a, b, b], "README.md")], "name string, member string, paths array<string>, extra string")
+    raw_files.land_archives(packages, str(tmp_path / "zips")).collect()
+    assert [p.name for p in (tmp_path / "zips").rglob("*")] == ["m_1.zip"]
+    with zipfile.ZipFile(tmp_path / "zips/m_1.zip") as archive:
+        assert archive.namelist() == ["dados/m.csv", "README.md"]
+        assert archive.read("dados/m.csv") == b"x;y\n1;2\n" * 200_000 + "3;é\n".encode() * 2
+
+
 BAD_MEMBERS = {
     "../x.csv": "unsafe", "dados/vendas/../vendas_2025.csv": "unsafe", "./x.csv": "unsafe", "/abs.csv": "unsafe",
     "C:/x.csv": "unsafe", "payload.exe": "unexpected member", "dados/segredos.csv": "unexpected member",
