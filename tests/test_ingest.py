@@ -258,6 +258,23 @@ def test_files_of_any_size_are_landed_block_by_block(spark, tmp_path):
         assert archive.read("dados/m.csv") == b"x;y\n1;2\n" * 200_000 + "3;é\n".encode() * 2
 
 
+def test_row_differences_counts_repeats_and_nulls(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 1), (None, 2), ("y", None)], "p string, q int")
+    b = spark.createDataFrame([("x", 1), ("y", None), ("z", 2), (None, None)], "p string, q int")
+    assert tuple(publish.row_differences(a, b).collect()[0]) == (2, 2)
+    assert tuple(publish.row_differences(a, a.repartition(3)).collect()[0]) == (0, 0)
+    assert tuple(publish.row_differences(a.limit(0), a.limit(0)).collect()[0]) == (0, 0)
+
+
+def test_search_index_shuffles_words_and_no_values(spark):
+    """Every piece of every value is turned to words of its file's filter before anything is shuffled."""
+    pieces = spark.range(0, 200_000, 1, 4).selectExpr("'f' as file", "cast(id as string) as piece")
+    words = search_index._words(pieces, "file")
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    assert words.count() <= search_index.BITS // 64
+
+
 BAD_MEMBERS = {
     "../x.csv": "unsafe", "dados/vendas/../vendas_2025.csv": "unsafe", "./x.csv": "unsafe", "/abs.csv": "unsafe",
     "C:/x.csv": "unsafe", "payload.exe": "unexpected member", "dados/segredos.csv": "unexpected member",
