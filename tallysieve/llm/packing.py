@@ -100,7 +100,7 @@ class WordEncoder:
             self.words = {w: self.words[w] for w in found if w in self.words}
         self.learn(missing)
         known = self.words
-        return [np.frombuffer(b"".join([known[w] for w in words]), dtype="<u4") for words in split]
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4") for words in split]
 
 
 def plain_letters(word: str) -> bool:
