@@ -184,3 +184,42 @@ def test_user_rule(make_tables):
     ev = evaluate(normalise_all(make_tables({"valor_venda": "10"}, {"venda_id": "S2"})), extra_rules=[own])
     assert [r[0] for r in ev.rejected.select("quality_issues").collect()][0].endswith("cheap_sale")
     assert report_of(ev)["cheap_sale"] == (1, "failed")
+
+
+def test_several_tables_of_one_key_meet_behind_one_shuffle(spark, make_tables):
+    """Far and hot keys find the same payloads; a key without match has none."""
+    sales = normalise(make_tables(*skewed(90))["vendas"], "vendas")
+    names = spark.createDataFrame([("V1", "a"), ("V404", "b")], "veiculo_id string, name string")
+    marks = spark.createDataFrame([("V2", True), ("V404", False)], "veiculo_id string, mark boolean")
+    hot = spark.createDataFrame([("V404",), ("V3",)], "hot_key string")
+    want = {"V1": ("a", None), "V2": (None, True), "V3": (None, None), "V4": (None, None), "V404": ("b", False)}
+    for listed in (None, hot):
+        rows = keys.lookup_join(sales, [names, marks], "veiculo_id", listed).select("veiculo_id", "name", "mark").collect()
+        assert len(rows) == 90 and all((r[1], r[2]) == want[r[0]] for r in rows)
+
+
+def test_a_build_writes_no_dimension_and_no_sale_twice(spark, make_tables, tmp_path):
+    """Marks and attributes come from one look-up; what is written on the way is dropped, rejected sales show no attributes."""
+    from tallysieve.plans.run import build
+    from tallysieve.sinks.staging import Staging
+
+    stage = Staging(spark, str(tmp_path / "stage"))
+    _, ev = build(make_tables(*skewed(90)), stage)
+    written = {p.name for p in (tmp_path / "stage").iterdir()}
+    assert written == {
+        *(f"clean_{n}" for n in ("vendas", "lojas", "consultores", "veiculos")), *(f"canon_{n}" for n in ("lojas", "consultores", "veiculos")),
+        "hot_keys", "repeated_sales", "repeated_veiculos", "judged",
+    }
+    assert ev.fact.where("marca is not null").count() == ev.fact.count() > 0
+    assert ev.judged.where("not is_valid and (marca is not null or loja is not null or consultor is not null)").count() == 0
+
+
+def test_only_wanted_parts_are_published(spark, make_tables, tmp_path):
+    from tallysieve.plans.run import build, publish_parts
+    from tallysieve.sinks.staging import Staging
+
+    tables = make_tables({}, {"venda_id": None})
+    clean, ev = build(tables, Staging(spark, str(tmp_path / "stage")))
+    made = publish_parts(spark, str(tmp_path / "out"), str(tmp_path / "bad"), tables["vendas"], clean, ev, "v", {"rejected_sales"})
+    assert [(f["name"], f["rows"]) for f in made] == [("rejected_sales", 1)]
+    assert [p.name for p in (tmp_path / "out" / "version=v").iterdir()] == ["rejected_sales"]
