@@ -20,6 +20,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ SHARD_PIECES = 20_000
 #: Words and stripped words whose ids a Python worker remembers, about 200 bytes each; beyond it only those of the texts
 #: at hand are kept.
 MEMORY_WORDS, MEMORY_CORES = 450_000, 700_000
+#: Characters that are encoded together: the more, the fewer times a word is looked up.
+PORTION_CHARS = 8_000_000
 #: Stripped from the ends of words before they are encoded; no apostrophe, which the tokenizer treats with what follows.
 PUNCTUATION = b".,!?;:#$%&*|()"
 PIECES = (
@@ -93,14 +97,24 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; call it with many texts, since new words are learnt once per call."""
-        split = [lowered(text).split() for text in texts]
-        found = set().union(*split)
-        missing = found.difference(self.words)
-        if len(self.words) + len(missing) > MEMORY_WORDS:
-            self.words = {w: self.words[w] for w in found if w in self.words}
-        self.learn(missing)
-        known = self.words
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4") for words in split]
+        # Arrow splits at the same ASCII white space as bytes.split and tells each distinct word once; bytes stay as they are.
+        whole = pa.array([lowered(text) for text in texts], pa.binary()).cast(pa.string(), safe=False)
+        split = pc.ascii_split_whitespace(whole)
+        coded = split.flatten().dictionary_encode()
+        found = coded.dictionary.cast(pa.binary()).to_pylist()
+        ids = list(map(self.words.get, found))
+        missing = {word for word, known in zip(found, ids) if known is None}
+        if missing:
+            if len(self.words) + len(missing) > MEMORY_WORDS:
+                self.words = {word: known for word, known in zip(found, ids) if known is not None}
+            self.learn(missing)
+            ids = list(map(self.words.__getitem__, found))
+        ends = np.cumsum(np.fromiter(map(len, ids), "int64", len(ids)) // 4)
+        of_words = pa.ListArray.from_arrays(np.append(0, ends).astype("int32"), np.frombuffer(b"".join(ids), dtype="<u4"))
+        taken = of_words.take(coded.indices)
+        cuts = taken.offsets.to_numpy()[split.offsets.to_numpy()].tolist()
+        body = taken.values.to_numpy()
+        return [body[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def plain_letters(word: str) -> bool:
@@ -147,7 +161,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW,
         encode = encoder(path)
         for frame in frames:
             rows, whole, ids_of = [], [t or "" for t in frame["text"]], frame["doc_id"].tolist()
-            for part in portions(whole):
+            for part in portions(whole, PORTION_CHARS):
                 for doc_id, body in zip(ids_of[part], encode(whole[part])):
                     ids = np.append(body, np.array([end_id], dtype="<u4"))
                     doc_id = None if pd.isna(doc_id) else int(doc_id)

@@ -101,3 +101,26 @@ def test_many_shards_do_not_share_sequences(frame):
 
 def test_empty_table(frame):
     assert packing.pack_documents(frame([])).collect() == []
+
+
+def test_encoder_splits_at_ascii_white_space_and_forgets_words(monkeypatch):
+    """Other white space stays inside words; ids are the same where hardly a word is remembered, and each word is looked up once."""
+    texts = ["", " ", "a\x1cb  c\x0b\x0cd e\u2028f", "\u00c1\u0301\u00c0 \u0130x", "don't  stop. stop. Stop.", "one " * 500]
+    encode = packing.WordEncoder(packing.tokenizer_file())
+    asked = []
+
+    class Words(dict):
+        def get(self, word, default=None):
+            asked.append(word)
+            return super().get(word, default)
+
+    encode.words = Words()
+    first = encode(texts)
+    assert len(asked) == len(set(asked)) < 30
+    assert [len(x) for x in first[:2]] == [0, 0] and len(first[-1]) % 500 == 0
+    monkeypatch.setattr(packing, "MEMORY_WORDS", 3)
+    monkeypatch.setattr(packing, "MEMORY_CORES", 3)
+    small = packing.WordEncoder(packing.tokenizer_file())
+    again = [small([t])[0] for t in texts]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(first, again))
+    assert encode([]) == []
