@@ -1,3 +1,4 @@
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -223,3 +224,17 @@ def test_only_wanted_parts_are_published(spark, make_tables, tmp_path):
     made = publish_parts(spark, str(tmp_path / "out"), str(tmp_path / "bad"), tables["vendas"], clean, ev, "v", {"rejected_sales"})
     assert [(f["name"], f["rows"]) for f in made] == [("rejected_sales", 1)]
     assert [p.name for p in (tmp_path / "out" / "version=v").iterdir()] == ["rejected_sales"]
+
+
+def test_a_rule_on_the_sale_alone_writes_nothing(spark, tmp_path):
+    from tallysieve.querybook.world import World
+
+    at = str(tmp_path)
+    rows = [(13, 6, 1, 1, 100.0, 0.1, date(1997, 3, 5), "A"), (13, 7, 1, 1, 100.0, 0.1, date(1997, 3, 5), "A")]
+    names = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_discount double, l_shipdate date, l_returnflag string"
+    spark.createDataFrame(rows, names).write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(13, 1, "1-URGENT")], "o_orderkey bigint, o_custkey bigint, o_orderpriority string").write.parquet(f"{at}/orders.parquet")
+    spark.createDataFrame([(1,)], "s_suppkey bigint").write.parquet(f"{at}/supplier.parquet")
+    w = World(spark, at)
+    assert [r["venda_id"] for r in w.failing("invalid_data_venda").collect()] == ["S13-6"]  # 13 * 7 + 6 = 97
+    assert not w._kept
