@@ -238,3 +238,61 @@ def test_a_rule_on_the_sale_alone_writes_nothing(spark, tmp_path):
     w = World(spark, at)
     assert [r["venda_id"] for r in w.failing("invalid_data_venda").collect()] == ["S13-6"]  # 13 * 7 + 6 = 97
     assert not w._kept
+
+
+def test_judging_some_columns_gives_what_the_whole_evaluation_gives(make_tables):
+    """Hot keys, sales without consultant, orphans and repeats included; with issues and without."""
+    from tallysieve.plans.evaluate import evaluate, judge
+    from tallysieve.plans.normalise import normalise_all
+
+    people = [*PEOPLE, ("-", "Sem cadastro", "L1", "A", ""), ("C1", "Outra", "L2", "A", "")]
+    odd = [{"venda_id": None, "loja_id": None}, {"venda_id": None, "veiculo_id": None}, {"data_venda": "x"}, {"valor_venda": "-1"}]
+    tables = normalise_all(make_tables(*skewed(300), *odd, people=people, cars=[*CARS, ("V1", "2020", "Outra", *CARS[0][3:])]))
+    today = F.lit("2026-01-01").cast("date")
+    whole = metrics.with_metrics(evaluate(tables, today, split_hot_keys=False).judged)
+    for columns in (
+        ["venda_id", "marca", "loja", "desconto_concedido"], ["canal_origem"], [rules.ISSUES, "consultor", rules.CONSULTANT_STORE, "loja_id"],
+        [rules.flag_column(r.rule_id) for r in rules.sales_rules()],
+    ):
+        shown = ["__source_line", rules.VALID, *columns]
+        found = sorted(map(str, judge(tables, shown, today).select(*shown).collect()))
+        assert found == sorted(map(str, whole.select(*shown).collect())) and len(found) == 304
+
+
+def test_later_and_repeated_rows_are_marked_where_they_meet(spark):
+    """Against counting by hand: hot, NULL and equal places among them."""
+    rows = [(None if i % 5 == 0 else f"K{i % 7}", f"{'ab'[i % 2]}.csv", i // 3) for i in range(60)] + [("K1", "a.csv", 0), ("K9", "A.csv", 1)]
+    df = spark.createDataFrame(rows, "k string, __source_file string, __source_line bigint")
+    order = {r: (r[1].lower(), r[1], r[2]) for r in rows}
+    later = sorted((str(r), r[0] is not None and order[r] > min(order[x] for x in rows if x[0] == r[0])) for r in rows)
+    often = sorted((str(r), r[0] is not None and sum(x[0] == r[0] for x in rows) > 1) for r in rows)
+    for hot in (None, spark.createDataFrame([("K1",), (None,), ("K9",), ("K404",)], "hot_key string")):
+        marked = keys.rank_later(df, "k", "x", hot).collect()
+        assert sorted((str(tuple(r[:3])), r["x"]) for r in marked) == later
+        marked = keys.lookup_join(df, [], "k", hot, repeated="x").collect()
+        assert sorted((str(tuple(r[:3])), r["x"]) for r in marked) == often
+
+
+def test_a_query_on_some_columns_writes_no_whole_table(spark, tmp_path):
+    """No clean or canonical table and no whole evaluation: what is written of the sales is what the query reads."""
+    from tallysieve.querybook.table_queries import marts
+    from tallysieve.querybook.world import World
+
+    at = str(tmp_path)
+    names = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_discount double, l_shipdate date, l_returnflag string"
+    rows = [(k, 1, 1, 1, 100.0, 0.1, date(1997, 3, 5), "A") for k in range(1, 9)]
+    spark.createDataFrame(rows, names).write.parquet(f"{at}/lineitem.parquet")
+    spark.createDataFrame([(k, 1, "1-URGENT") for k in range(1, 9)], "o_orderkey bigint, o_custkey bigint, o_orderpriority string").write.parquet(f"{at}/orders.parquet")
+    spark.createDataFrame([(1, "S1", 1)], "s_suppkey bigint, s_name string, s_nationkey int").write.parquet(f"{at}/supplier.parquet")
+    spark.createDataFrame([(1, "N1")], "n_nationkey int, n_name string").write.parquet(f"{at}/nation.parquet")
+    spark.createDataFrame([(1, "c", "X")], "c_custkey bigint, c_name string, c_mktsegment string").write.parquet(f"{at}/customer.parquet")
+    spark.createDataFrame([(1, "p", "B1", "T", 1)], "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{at}/part.parquet")
+    w = World(spark, at)
+    fact = w.fact_of(*marts.MART_READS)
+    staged = dict(w._kept)
+    assert w._evaluation is None and not any(n.startswith(("clean_", "canon_", "judged")) for n in staged)
+    (sales,) = [df for n, df in staged.items() if n.startswith("sales_")]
+    assert not {"canal_origem", "forma_pagamento", "consultor_id", "data_venda_original"} & set(sales.columns)
+    expected = w.evaluation().fact.select(*marts.MART_READS)  # the same rows from the whole evaluation
+    assert sorted(map(str, fact.collect())) == sorted(map(str, expected.collect()))
+    assert fact.count() == 0 or {r["loja"] for r in fact.collect()} == {"S1"}
