@@ -23,6 +23,8 @@ SOURCE_ORDER = (fv.SOURCE_FILE, fv.SOURCE_LINE)
 MAX_HOT_KEYS = 1000
 # A key counts as hot from this share of the rows on; MAX_HOT_KEYS such keys fit by arithmetic.
 HOT_SHARE = 0.001
+# Spreads the rows of hot and missing keys where it is there.
+SALT = "__spread"
 
 
 def source_order() -> list[Column]:
@@ -143,7 +145,7 @@ def lookup_join(
         met = left.join(F.broadcast(near), same, "left")
         away = F.col("__near").isNotNull() | away
 
-    joined = met.withColumn("__far_key", F.when(away, _spread()).otherwise(F.col(key).cast("string")))
+    joined = met.withColumn("__far_key", F.when(away, _spread(left)).otherwise(F.col(key).cast("string")))
     if repeated is not None:
         others = F.count(F.when(~away, F.lit(1))).over(Window.partitionBy("__far_key"))
         joined = joined.withColumn("__far_count", others)
@@ -161,9 +163,15 @@ def lookup_join(
     return joined.select(*[F.col(c) for c in left.columns], *[either(c).alias(c) for c in payload], *met_marks)
 
 
-def _spread() -> Column:
+def _spread(left: DataFrame) -> Column:
     """A key that spreads rows over all tasks and matches nothing."""
-    return F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in SOURCE_ORDER]).cast("string"))
+    salt = F.col(SALT) if SALT in left.columns else F.xxhash64(*[F.col(c) for c in SOURCE_ORDER])
+    return F.concat(F.lit("\u0000"), salt.cast("string"))
+
+
+def salted(df: DataFrame) -> DataFrame:
+    """With a small salt by source place, so that the place itself need not go through every shuffle."""
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in SOURCE_ORDER]), F.lit(65536)).cast("int"))
 
 
 def rank_later(df: DataFrame, key: str, flag: str, hot: DataFrame | None = None) -> DataFrame:

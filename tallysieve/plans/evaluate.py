@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Collection, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -126,6 +126,7 @@ def failing_rows(
 
 # Look-up -> dimension and the sale's key; the other look-ups have the key of the sale alone.
 _KEY_OF = {"later": "venda_id", "repeats": "veiculo_id", "vehicle": "veiculo_id", "store": "loja_id", "consultant": "consultor_id"}
+_EARLY = "__early_rules"
 _DIMENSION_OF = {"vehicle": "veiculos", "store": "lojas", "consultant": "consultores"}
 
 
@@ -166,10 +167,19 @@ def judge(tables: dict[str, DataFrame], wanted: Collection[str], as_of: Column |
         if asked & set(canonical_columns(tables[name], name)):
             needs.add(need)
     metric = asked & set(METRIC_COLUMNS)
-    read = asked.union(keys.SOURCE_ORDER, *(r.reads for r in chosen), ("valor_venda", "valor_referencia") if metric else ())
-    read |= {_KEY_OF[n] for n in needs}
-    sales = tables["vendas"].select(*[c for c in tables["vendas"].columns if c in read])
-    sales = stage(f"sales_{zlib.crc32(' '.join(sales.columns).encode()):08x}", sales)
+    # Rules on columns that nobody else reads are checked at once; one number goes on instead of the columns.
+    early = [r for r in chosen if not r.needs and not set(r.reads) <= asked]
+    bits = {r.rule_id: 1 << i for i, r in enumerate(early)}
+    read = asked.union(keys.SOURCE_ORDER, *(r.reads for r in chosen if r.rule_id not in bits))
+    read |= {_KEY_OF[n] for n in needs} | ({"valor_venda", "valor_referencia"} if metric else set())
+    known = reduce(Column.bitwiseOR, [F.when(rules.failing(r), bits[r.rule_id]).otherwise(0) for r in early], F.lit(0))
+    columns = [c for c in tables["vendas"].columns if c in read]
+    sales = tables["vendas"].select(*columns, known.alias(_EARLY))
+    sales = sales if asked >= set(keys.SOURCE_ORDER) else keys.salted(sales)
+    sales = stage(f"sales_{zlib.crc32(' '.join([*sales.columns, *bits]).encode()):08x}", sales)
+    chosen = tuple(
+        replace(r, fails=lambda bit=bits[r.rule_id]: F.col(_EARLY).bitwiseAND(bit) != 0) if r.rule_id in bits else r for r in chosen
+    )
     hot, detours = hot_of_needs(sales, needs, stage)
     dims = narrow_dims(tables, needs, asked)
     if "lojas" in dims:  # written, so that its size is known and a small one is broadcast
