@@ -296,3 +296,45 @@ def test_a_query_on_some_columns_writes_no_whole_table(spark, tmp_path):
     expected = w.evaluation().fact.select(*marts.MART_READS)  # the same rows from the whole evaluation
     assert sorted(map(str, fact.collect())) == sorted(map(str, expected.collect()))
     assert fact.count() == 0 or {r["loja"] for r in fact.collect()} == {"S1"}
+
+
+def test_judging_valid_sales_alone_carries_nothing_of_others(make_tables):
+    """The same valid sales as the whole evaluation; a sale known to be invalid is written bare, none is left at the end."""
+    from tallysieve.plans.evaluate import evaluate, judge
+    from tallysieve.plans.normalise import normalise_all
+
+    people = [*PEOPLE, ("-", "Sem cadastro", "L1", "A", "")]
+    odd = [{"venda_id": None}, {"venda_id": "S7", "data_venda": "x"}, {"venda_id": "Z", "valor_venda": "-1"}, {"venda_id": "Z"}, {"venda_id": "Y"}]
+    tables = normalise_all(make_tables(*skewed(300), *odd, people=people))
+    today = F.lit("2026-01-01").cast("date")
+    whole = metrics.with_metrics(evaluate(tables, today, split_hot_keys=False).judged).where(rules.VALID)
+    staged = {}
+
+    def stage(name, df):
+        return staged.setdefault(name, df)
+
+    for columns in (
+        ["canal_origem"], ["venda_id", "marca", "loja", "desconto_concedido"],
+        ["__source_file", "__source_line", "valor_venda", rules.ISSUES, "consultor", "modelo"], ["__source_line", rules.flag_column("veiculo_multiple_sales")],
+    ):
+        staged.clear()
+        found = judge(tables, columns, today, stage, valid_only=True).select(rules.VALID, *columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.select(rules.VALID, *columns).collect()))
+        (sales,) = [df for name, df in staged.items() if name.startswith("sales_")]
+        payload = [c for c in ("canal_origem", "valor_venda", "loja_id") if c in sales.columns]
+        assert sales.where("venda_id is null").count() == 1 and payload
+        assert all(r[0] is None for r in sales.where("venda_id is null").select(*payload).collect())
+
+
+def test_money_with_and_without_comma(spark):
+    texts = {
+        "R$ 1.234,50": "1234.50", "1.2,3": "12.30", "1,2.3": "1.23", "1,2,3": None, "1_0,5": "10.50", "1.5": "1.50", "1.2.3": None, "R$": None,
+        " - 1 ,5 ": "-1.50", "1,5e1": "15.00", "1.555": None, "1,550": "1.55", ",": None, None: None,
+    }
+    from tallysieve.functions.numbers import parse_money
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r["t"]: None if r["x"] is None else str(r["x"]) for r in df.select("t", parse_money(F.col("t")).alias("x")).collect()}
+    assert found == texts
+    plan = df.select(parse_money(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan  # dots and commas cost no regex
