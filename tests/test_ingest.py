@@ -510,3 +510,25 @@ def test_skip_index_reads_few_files_and_loses_no_match(spark, tmp_path):
     assert search_index.files_to_read(index, "nothing like it").count() == 0
     assert 0 < search_index.files_to_read(index, "modelo 11").count() <= files / 3
     assert search_index.files_to_read(index, "an") is None
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """The number of tasks follows the bytes, not the ranges."""
+    files = spark.createDataFrame([(f"{tmp_path}/a.csv", 64 << 20), (f"{tmp_path}/b.csv", 100)], "path string, length bigint")
+    found = ranges.byte_ranges(files, 1 << 14)
+    assert found.count() == 4097
+    least = ranges.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert ranges.scan_ranges(found).rdd.getNumPartitions() <= max(least, 12)
+    assert ranges.scan_ranges(ranges.byte_ranges(files)).rdd.getNumPartitions() == 3
+
+
+def test_files_that_are_moved_lie_on_disk_once(spark, tmp_path):
+    written = tmp_path / "written"
+    written.mkdir()
+    for k in range(3):
+        (written / f"part-{k}.csv").write_bytes(b"a;b\n" * (k + 1))
+    files = spark.createDataFrame([(f"x/_file {k}.csv", f"file:{written}/part-{k}.csv") for k in range(3)], "name string, path string")
+    for _ in range(2):  # a task may run twice
+        landed = raw_files.land_moves(files, f"{tmp_path}/landed").collect()
+        assert sorted((r["name"], r["length"]) for r in landed) == [(f"x/_file {k}.csv", 4 * (k + 1)) for k in range(3)]
+    assert not list(written.glob("*.csv")) and (tmp_path / "landed/x/_file 2.csv").read_bytes() == b"a;b\n" * 3
