@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame
 
 from ..sources.ranges import spread
@@ -69,6 +70,30 @@ def land_copies(files: DataFrame, folder: str) -> DataFrame:
     return spread(files.select("name", "head", "path"), "name").mapInPandas(_copier(folder.rstrip("/")), LANDED)
 
 
+def _mover(folder: str):
+    def land(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, place = store_of(folder)
+        for frame in frames:
+            lengths = []
+            for name, path in zip(frame["name"], frame["path"], strict=True):
+                written, target = store_of(path)[1], f"{place}/{name}"
+                store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                if store.get_file_info(written).type != fs.FileType.NotFound:  # a task that runs twice finds it moved
+                    store.move(written, target)
+                found = store.get_file_info(target)
+                if found.type != fs.FileType.File:
+                    raise FileNotFoundError(path)
+                lengths.append(found.size)
+            yield pd.DataFrame({"name": frame["name"], "length": lengths})
+
+    return land
+
+
+def land_moves(files: DataFrame, folder: str) -> DataFrame:
+    """Give files of (name, path) names of their own in `folder`, in the same store; no byte is written again."""
+    return spread(files.select("name", "path"), "name").mapInPandas(_mover(folder.rstrip("/")), LANDED)
+
+
 def _packer(folder: str):
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, place = store_of(folder)
