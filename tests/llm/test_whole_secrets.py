@@ -74,3 +74,27 @@ def test_the_threshold_keeps_the_recall_below_one_half():
     scores = net.probabilities(x)
     assert net.threshold < 0.5 and (scores[y > 0] >= net.threshold).mean() >= 0.98
     assert net.precision == pytest.approx(y[scores >= net.threshold].mean())
+
+
+def test_all_candidates_are_learnt_from_in_shards(spark, frame, monkeypatch):
+    """More candidates than a shard takes: each is in one, and the network tells keys from paths as one trained at once does."""
+    rng = random.Random(12)
+    texts = [f'see token = "{key(rng, length=rng.randint(24, 40))}" in it' for _ in range(300)]
+    texts += [f"get {path(rng, '')} or {path(rng, '')} now" for _ in range(300)]
+    docs = frame(list(enumerate(texts)))
+    found = secrets.labelled(secrets.texts(docs)).distinct().collect()
+    stage = secrets.Stage(spark)
+    rows = secrets.sharded(spark.createDataFrame(found, "secret boolean, view binary"), 2, 5, stage).collect()
+    assert sorted(r["shard"] for r in rows) == list(range(5))
+    for secret, column in ((True, "findings"), (False, "others")):
+        views = [bytes(r[column][a : a + secrets.WIDTH]) for r in rows for a in range(0, len(r[column]), secrets.WIDTH)]
+        assert set(views) == {bytes(r["view"]) for r in found if r["secret"] == secret}
+        assert sum(len(r[column]) for r in rows if r["own"] & (1 if secret else 2)) == secrets.WIDTH * len(set(views))
+    seen = []
+    monkeypatch.setattr(secrets, "train_shards", lambda shards, at=secrets.train_shards: seen.append(shards.count()) or at(shards, epochs=40))
+    net = secrets.learn(docs, 150, 250)
+    assert seen and seen[0] > 1
+    views = {s: np.stack([np.frombuffer(r["view"], "uint8") for r in found if r["secret"] == s]) for s in (True, False)}
+    assert (net.probabilities(views[True]) >= net.threshold).mean() > 0.95 and (net.probabilities(views[False]) >= net.threshold).mean() < 0.05
+    again = secrets.learn(docs.repartition(3), 150, 250)
+    assert all((a == b).all() for a, b in zip(net.params(), again.params())) and net.threshold == again.threshold
