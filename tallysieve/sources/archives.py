@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import stat
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -14,11 +15,15 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from .listing import PACKAGE_LIMITS, Limits, base_name, over, schema_hint
+from .stores import store_of
 
 MANIFEST = (
     "archive string, archive_bytes bigint, member string, is_dir boolean, size bigint, packed bigint, "
     "method int, flags int, mode int, damage string"
 )
+UNPACKED = "archive string, source_file string, path string, length bigint, problem string"
+#: Bytes of a member that a task holds while it unpacks.
+BLOCK = 1 << 20
 EXPANDED = "archive string, source_file string, content binary, problem string"
 _DAMAGE = (zipfile.BadZipFile, EOFError, OSError, RuntimeError, NotImplementedError, zlib.error, ValueError)
 
@@ -152,3 +157,49 @@ def expand(archives: DataFrame, limits: Limits = PACKAGE_LIMITS) -> DataFrame:
     """Members of each archive as files in memory, one at a time; damage becomes a problem row."""
     out = archives.select("path", "content").mapInPandas(_expander(limits.file_bytes, fv.README_NAME), EXPANDED)
     return out.withColumn("schema_hint", member_schema(F.col("source_file")))
+
+
+def _unpacker(folder: str, byte_limit: int | None, readme: str):
+    names = [c.split()[0] for c in UNPACKED.split(", ")]
+
+    def unpacked(archive: zipfile.ZipFile, member: zipfile.ZipInfo) -> tuple[str | None, int, str | None]:
+        target, length = f"{folder}/{uuid.uuid4().hex}", 0  # never a name that the archive chose
+        store, place = store_of(target)
+        store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+        with archive.open(member) as source, store.open_output_stream(place) as out:
+            while block := source.read(BLOCK):  # reading to the end checks the CRC
+                length += len(block)
+                if byte_limit is not None and length > byte_limit:
+                    return None, length, "expanded content over the size limit"
+                out.write(block)
+        return target, length, None if length == member.file_size else "expanded size differs from the declared one"
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                store, place = store_of(path)
+                try:
+                    with store.open_input_file(place) as source, zipfile.ZipFile(source) as archive:
+                        for m in archive.infolist():
+                            if m.is_dir() or m.filename == readme:
+                                continue
+                            try:
+                                found = unpacked(archive, m)
+                            except _DAMAGE as error:
+                                found = (None, 0, f"damaged member: {error}")
+                            rows.append((path, m.filename, *found))
+                except _DAMAGE as error:
+                    rows.append((path, "", None, 0, f"damaged archive: {error}"))
+            yield pd.DataFrame(rows, columns=names)
+
+    return unpack
+
+
+def unpack(archives: DataFrame, folder: str, limits: Limits = PACKAGE_LIMITS) -> DataFrame:
+    """Members of each archive of (path) as files of `folder`, whatever their size: a task holds a block of one at a time.
+
+    Each run of the plan writes them again, so its rows are to be staged. The folder has to be one that tasks can open.
+    """
+    out = archives.select("path").mapInPandas(_unpacker(folder.rstrip("/"), limits.file_bytes, fv.README_NAME), UNPACKED)
+    return out.withColumn("schema_hint", member_schema(F.col("source_file")))

@@ -532,3 +532,25 @@ def test_files_that_are_moved_lie_on_disk_once(spark, tmp_path):
         landed = raw_files.land_moves(files, f"{tmp_path}/landed").collect()
         assert sorted((r["name"], r["length"]) for r in landed) == [(f"x/_file {k}.csv", 4 * (k + 1)) for k in range(3)]
     assert not list(written.glob("*.csv")) and (tmp_path / "landed/x/_file 2.csv").read_bytes() == b"a;b\n" * 3
+
+
+def test_archives_are_unpacked_block_by_block(spark, tmp_path, monkeypatch):
+    """Members become files under names of our own, in blocks; damage and limits give a problem."""
+    monkeypatch.setattr(archives, "BLOCK", 1000)
+    content = b"venda_id;x\n" + b"S1;2\n" * 5000
+    for name in ("good.zip", "bad.zip"):
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_STORED) as archive:
+            archive.writestr(f"{fv.SALES_FOLDER}/vendas_2025.csv", content)
+            archive.writestr("../../escape.csv", b"y")
+    data = bytearray((tmp_path / "bad.zip").read_bytes())
+    data[3000] ^= 1
+    (tmp_path / "bad.zip").write_bytes(data)
+    (tmp_path / "none.zip").write_bytes(b"no archive")
+    paths = spark.createDataFrame([(f"{tmp_path}/{n}.zip",) for n in ("good", "bad", "none")], "path string")
+    found = {(r["archive"].rsplit("/", 1)[-1], r["source_file"]): r for r in archives.unpack(paths, f"{tmp_path}/out", listing.UNLIMITED).collect()}
+    good = found["good.zip", f"{fv.SALES_FOLDER}/vendas_2025.csv"]
+    assert good["problem"] is None and good["length"] == len(content) and good["schema_hint"] == "vendas" and open(good["path"], "rb").read() == content
+    assert "damaged member" in found["bad.zip", f"{fv.SALES_FOLDER}/vendas_2025.csv"]["problem"] and "damaged archive" in found["none.zip", ""]["problem"]
+    assert found["good.zip", "../../escape.csv"]["path"].startswith(f"{tmp_path}/out/") and not (tmp_path.parent / "escape.csv").exists()
+    small = archives.unpack(paths.limit(1), f"{tmp_path}/out", listing.Limits(file_bytes=2000)).collect()
+    assert [r["problem"] for r in small if r["schema_hint"]] == ["expanded content over the size limit"]
