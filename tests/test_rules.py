@@ -338,3 +338,35 @@ def test_money_with_and_without_comma(spark):
     assert found == texts
     plan = df.select(parse_money(F.col("t")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan  # dots and commas cost no regex
+
+
+def test_slices_publish_what_the_whole_evaluation_does(spark, make_tables, tmp_path, monkeypatch):
+    """Many sales are looked up and published slice after slice; rows, counts and fingerprints are those of one piece."""
+    from tallysieve.plans import run
+    from tallysieve.sinks import publish
+    from tallysieve.sinks.staging import Staging
+
+    tables, found = make_tables(*skewed(90), {"veiculo_id": None}, {"veiculo_id": "V2", "data_venda": "2024-03-01"}, {"venda_id": ""}), {}
+    for slices in (1, 3):
+        monkeypatch.setattr(run, "slices_of", lambda sales, n=slices: n)
+        stage, out = Staging(spark, str(tmp_path / f"stage{slices}")), str(tmp_path / f"out{slices}")
+        clean, ev = run.build(tables, stage, F.lit("2026-01-01").cast("date"))
+        made = run.publish_parts(spark, out, f"{out}-bad", tables["vendas"], clean, ev, "v", run.TABLES, stage)
+        found[slices] = {f["name"]: f for f in made}
+        assert [f["name"] for f in made] == list(run.TABLES)
+        for name in ("fact_vendas", "rejected_sales"):
+            read = publish.read_table(spark, out, name, "v")
+            assert publish.fingerprint(read) == {k: v for k, v in found[slices][name].items() if k != "name"}
+        assert slices == 1 or not list((tmp_path / "stage3").glob("judged*"))
+    assert found[1] == found[3] and found[1]["fact_vendas"]["rows"] > 1 and found[1]["rejected_sales"]["rows"] > 1
+
+
+def test_written_sales_are_sliced_by_their_size(spark, make_tables, tmp_path, monkeypatch):
+    from tallysieve.plans import evaluate as plan
+    from tallysieve.sinks.staging import Staging
+
+    sales = Staging(spark, str(tmp_path))("sales", make_tables(*skewed(90))["vendas"])
+    size = sum(f.stat().st_size for f in (tmp_path / "sales").glob("*.parquet"))
+    assert plan.slices_of(sales) == 1
+    monkeypatch.setattr(plan, "SLICE_BYTES", -(-size // 4))
+    assert plan.slices_of(sales) == 4
